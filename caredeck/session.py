@@ -1,6 +1,10 @@
 """Session settings the jobs, tests and bench share."""
 
 import os
+import shutil
+import tempfile
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,3 +33,17 @@ def build_session(name, master=None, shuffle_partitions=None, **conf):
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship_package(spark):
+    """Send this package to the Python workers, for operators whose tasks run its code."""
+    _ship(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _ship(application):
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp()}/{package.name}", "zip", root_dir=package.parent, base_dir=package.name
+    )
+    SparkSession.active().sparkContext.addPyFile(archive)
