@@ -1,18 +1,15 @@
 """Knowledge base: section parsing and the weighted term index.
 
-The index is one written table of postings for two weightings: `tfidf` over word uni- and
-bigrams, `bm25` over white-space tokens. Terms are kept as two 64-bit hashes, so that tasks
-exchange integers only.
+The index is a written table of postings per weighting: `tfidf` over word uni- and bigrams,
+`bm25` over white-space tokens. Terms are kept as two 64-bit hashes, so that tasks exchange
+integers only.
 """
 
-from dataclasses import dataclass
-from functools import cached_property
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_category, normalize, strip, with_bigrams, word_tokens
 from ..storage import materialise
+from .ranking import with_position
 
 TFIDF, BM25 = "tfidf", "bm25"
 
@@ -50,70 +47,95 @@ def term_key(space, term):
     return F.xxhash64(F.lit(space), term), F.xxhash64(term, F.lit(space))
 
 
-def terms_of(text):
-    """{weighting: token array} of a normalised text."""
-    return {TFIDF: with_bigrams(word_tokens(text)), BM25: F.filter(F.split(text, " "), lambda t: t != "")}
-
-
-def _tagged(space, terms):
-    return F.transform(terms, lambda term: F.struct(F.lit(space).alias("space"), term.alias("term")))
+def terms_of(text, space):
+    """Token array of a normalised text for one weighting."""
+    if space == TFIDF:
+        return with_bigrams(word_tokens(text))
+    return F.filter(F.split(text, " "), lambda t: t != "")
 
 
-@dataclass(frozen=True)
 class KnowledgeIndex:
-    """`docs`: parsed documents. `postings`: space, h1, h2, document_id, weight, idf.
+    """`docs`: parsed documents, numbered by document_id order (doc_no).
 
-    Every document also has one posting of the empty term with weight 0, so that documents
-    sharing no term with a query are still ranked (score 0).
+    `postings(space)`: h1, h2, doc_no, weight, idf. Every document also has a posting of the empty
+    term with weight 0, so that documents sharing no term with a query are still ranked (score 0).
     """
 
-    docs: DataFrame
-    postings: DataFrame
+    def __init__(self, docs):
+        self.docs = docs
+        self._postings = {}
+        self._sizes = {}
 
-    @cached_property
-    def size(self):
-        return self.postings.count()
+    def postings(self, space):
+        """The weighting's postings, written at first use."""
+        if space not in self._postings:
+            counts = _term_counts(self.docs, space)
+            weigh = _tfidf_weights if space == TFIDF else _bm25_weights
+            self._postings[space] = materialise(_with_empty_term(weigh(counts, self.docs), self.docs, space))
+        return self._postings[space]
+
+    def size(self, space):
+        if space not in self._sizes:
+            self._sizes[space] = self.postings(space).count()
+        return self._sizes[space]
 
 
 def build_index(reference, nfkc=False):
-    """Parse, weigh and write the index; document_id must be unique."""
-    docs = materialise(
-        parse_sections(reference, nfkc).withColumn("document_id", F.col("document_id").cast("string"))
-    )
-    tokens = docs.select("document_id", "content_norm").withColumn("words", word_tokens(F.col("content_norm")))
-    spaces = {TFIDF: with_bigrams(F.col("words")), BM25: terms_of(F.col("content_norm"))[BM25]}
-    entries = F.concat(*[_tagged(space, array) for space, array in spaces.items()])
-    counts = (
-        tokens.select("document_id", F.explode(entries).alias("e"))
-        .groupBy("document_id", "e.space", "e.term")
-        .agg(F.count("*").alias("tf"))
+    """Parse, number and write the documents; document_id must be unique."""
+    parsed = parse_sections(
+        reference.withColumn("document_id", F.col("document_id").cast("string")).repartition("document_id"), nfkc
     )
-    counts = materialise(counts)
-    n = docs.agg(F.count("*")).scalar()
-    spread = counts.groupBy("space", "term").agg(F.count("*").alias("df"))
-    raw = F.when(F.col("space") == TFIDF, F.log((1 + n) / (1 + F.col("df"))) + 1).otherwise(
-        F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
-    )
-    spread = spread.withColumn("idf", raw)
-    floor = spread.where(F.col("space") == BM25).agg(F.avg("idf") * BM25_FLOOR).scalar()
-    spread = spread.withColumn(
-        "idf", F.when((F.col("space") == BM25) & (F.col("idf") < 0), floor).otherwise(F.col("idf"))
-    ).drop("df")
-    weighed = counts.join(spread, ["space", "term"])
-    lengths = weighed.groupBy("space", "document_id").agg(
-        F.sum("tf").alias("length"), F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("norm")
-    )
-    mean_length = counts.where(F.col("space") == BM25).agg(F.sum("tf")).scalar() / n
-    tf = F.col("tf")
+    return KnowledgeIndex(materialise(with_position(parsed, [F.col("document_id")], "doc_no")))
+
+
+def _term_counts(docs, space):
+    tokens = docs.select("doc_no", "content_norm")
+    if space == TFIDF:
+        terms = tokens.withColumn("_t", word_tokens(F.col("content_norm"))).select(
+            "doc_no", F.explode(with_bigrams(F.col("_t"))).alias("term")
+        )
+    else:
+        terms = tokens.select("doc_no", F.explode(terms_of(F.col("content_norm"), space)).alias("term"))
+    h1, h2 = term_key(space, F.col("term"))
+    # Hashed before the exchange: fixed-width keys aggregate and move faster than text.
+    keyed = terms.select("doc_no", h1.alias("h1"), h2.alias("h2"))
+    return materialise(keyed.groupBy("doc_no", "h1", "h2").agg(F.count("*").alias("tf")))
+
+
+def _document_count(docs):
+    return docs.agg(F.count("*")).scalar()
+
+
+def _tfidf_weights(counts, docs):
+    """Raw count times smoothed idf, scaled to unit length per document."""
+    vocabulary = counts.groupBy("h1", "h2").agg(F.count("*").alias("df"))
+    idf = F.log((1 + _document_count(docs)) / (1 + F.col("df"))) + 1
+    weighed = counts.join(vocabulary.select("h1", "h2", idf.alias("idf")), ["h1", "h2"])
+    raw = F.col("tf") * F.col("idf")
+    lengths = weighed.groupBy("doc_no").agg(F.sqrt(F.sum(raw * raw)).alias("norm"))
+    return weighed.join(lengths, "doc_no").withColumn("weight", raw / F.col("norm"))
+
+
+def _bm25_weights(counts, docs):
+    """Okapi weights; a term in most documents gets a share of the mean idf instead of a negative one."""
+    n, tf = _document_count(docs), F.col("tf")
+    vocabulary = counts.groupBy("h1", "h2").agg(F.count("*").alias("df"))
+    raw = F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
+    vocabulary = vocabulary.select("h1", "h2", raw.alias("raw"))
+    floor = vocabulary.agg(F.avg("raw") * BM25_FLOOR).scalar()
+    idf = F.when(F.col("raw") < 0, floor).otherwise(F.col("raw"))
+    lengths = counts.groupBy("doc_no").agg(F.sum("tf").alias("length"))
+    mean_length = counts.agg(F.sum("tf")).scalar() / n
     damped = tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / mean_length))
-    weight = F.when(F.col("space") == TFIDF, tf * F.col("idf") / F.col("norm")).otherwise(F.col("idf") * damped)
-    keyed = weighed.join(lengths, ["space", "document_id"]).withColumn("weight", weight)
-    h1, h2 = F.xxhash64("space", "term"), F.xxhash64("term", "space")
-    columns = ("space", "h1", "h2", "document_id", "weight", "idf")
-    postings = keyed.withColumns({"h1": h1, "h2": h2}).select(*columns)
-    empty = (
-        docs.select(F.explode(F.array(F.lit(TFIDF), F.lit(BM25))).alias("space"), "document_id", F.lit("").alias("term"))
-        .withColumns({"h1": h1, "h2": h2, "weight": F.lit(0.0), "idf": F.lit(0.0)})
-        .select(*columns)
+    return (
+        counts.join(vocabulary.select("h1", "h2", idf.alias("idf")), ["h1", "h2"])
+        .join(lengths, "doc_no")
+        .withColumn("weight", F.col("idf") * damped)
     )
-    return KnowledgeIndex(docs, materialise(postings.unionByName(empty)))
+
+
+def _with_empty_term(weighed, docs, space):
+    columns = ("h1", "h2", "doc_no", "weight", "idf")
+    h1, h2 = term_key(space, F.lit(""))
+    empty = docs.select(h1.alias("h1"), h2.alias("h2"), "doc_no", F.lit(0.0).alias("weight"), F.lit(0.0).alias("idf"))
+    return weighed.select(*columns).unionByName(empty)
