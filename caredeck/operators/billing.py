@@ -34,22 +34,29 @@ def bill_shock(spending, complaints, threshold=0.30, hot_rows=CHUNK_ROWS):
         month_index(F.col("billing_year_month")).alias("month_index"),
         F.col("same_month_billing_complaint").alias("_billing"),
     )
-    hot = rows.groupBy("customer_id").agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
-    hot_ids = [row["customer_id"] for row in hot.select("customer_id").collect()]
-    if not hot_ids:
+    hot = _hot_customers(rows, hot_rows)
+    if hot is None:
         bills = _prior_bills(_month_context(rows, flags), ["customer_id"])
         return _shock(bills.unionByName(nobody), threshold)
 
-    # At most table rows / hot_rows ids, so the list is short.
-    is_hot = F.col("customer_id").isin(hot_ids)
-    cold = _prior_bills(_month_context(rows.where(~is_hot), flags), ["customer_id"])
-    hot_part = rows.where(is_hot)
+    cold_rows, hot_part = rows.join(hot, "customer_id", "left_anti"), rows.join(hot, "customer_id", "left_semi")
+    cold = _prior_bills(_month_context(cold_rows, flags), ["customer_id"])
+    # A hot customer still has few distinct months; only the row order needs the split.
     months = hot_part.select("customer_id", "month_index").distinct()
-    context = _month_context(months, flags.where(is_hot))
+    context = _month_context(months, flags.join(hot, "customer_id", "left_semi"))
     split = _prior_bills_split(hot_part, hot_rows).join(context, ["customer_id", "month_index"])
     return _shock(cold.unionByName(split).unionByName(nobody), threshold)
 
 
+def _hot_customers(rows, limit):
+    """Broadcastable ids of customers with more than `limit` rows (at most rows/limit ids), or None."""
+    counts = rows.groupBy("customer_id").agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit)
+    found = counts.select("customer_id").collect()
+    if not found:
+        return None
+    return F.broadcast(rows.sparkSession.createDataFrame(found, rows.select("customer_id").schema))
+
+
 def _without_customer(rows):
     """Rows without a customer id have no prior bills, no complaints and no later activity."""
     return rows.withColumns(

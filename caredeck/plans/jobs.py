@@ -25,7 +25,7 @@ from ..operators import (
 from ..session import build_session
 from ..sources.readers import load_or_build, read_table
 from ..sources.sinks import save_table
-from ..storage import materialise
+from ..storage import discard_scratch, materialise
 from .features import build_features
 
 FEATURES = "complaints_final_features.parquet"
@@ -171,6 +171,13 @@ def main():
     parser.add_argument("--nfkc", action="store_true", help="compose compatibility characters")
     args = parser.parse_args()
     spark = build_session(f"caredeck-{args.job}")
+    try:
+        _run(spark, args)
+    finally:
+        discard_scratch(spark)
+
+
+def _run(spark, args):
     if args.job == "features":
         files = {
             "customer": "customer", "spending": "customer_spending", "complaints": "customer_complaints",

@@ -27,3 +27,11 @@ def materialise(df):
     path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_scratch(spark):
+    """Delete the session's own scratch folder; for the end of a job."""
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -56,11 +56,16 @@ VIEWS = {
 TABLES = ("nation", "customer", "orders", "events", "documents", "labels", "conversations")
 
 
+_registered = {}
+
+
 def register(spark, folder):
-    """Temp views over the Parquet tables of `folder`; returns name -> DataFrame."""
-    for name in TABLES:
-        spark.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(name)
-    return {name: spark.sql(sql) for name, sql in VIEWS.items()} | {
-        "conversations": spark.table("conversations"),
-        "documents": spark.table("documents"),
-    }
+    """Temp views over the Parquet tables of `folder`; returns name -> DataFrame, once per session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _registered:
+        for name in TABLES:
+            spark.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(name)
+        views = {name: spark.sql(sql) for name, sql in VIEWS.items()}
+        views |= {name: spark.table(name) for name in ("conversations", "documents")}
+        _registered[key] = views
+    return _registered[key]
