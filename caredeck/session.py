@@ -3,7 +3,6 @@
 import os
 import shutil
 import tempfile
-from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -35,15 +34,17 @@ def build_session(name, master=None, shuffle_partitions=None, **conf):
     return builder.getOrCreate()
 
 
-def ship_package(spark):
-    """Send this package to the Python workers, for operators whose tasks run its code."""
-    _ship(spark.sparkContext.applicationId)
+_shipped = set()
 
 
-@lru_cache
-def _ship(application):
+def ship_package(spark):
+    """Send this package to the Python workers, for operators whose tasks run its code."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
     package = Path(__file__).resolve().parent
     archive = shutil.make_archive(
         f"{tempfile.mkdtemp()}/{package.name}", "zip", root_dir=package.parent, base_dir=package.name
     )
-    SparkSession.active().sparkContext.addPyFile(archive)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)

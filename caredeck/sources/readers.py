@@ -22,20 +22,24 @@ PROCESSED = {
 
 
 def read_json_lines(spark, path, table):
-    """JSON lines, plain or .gz, under the table's schema; blank lines are skipped, bad ones raise."""
-    first = _first_fields(spark, path)
-    missing = [name for name in RAW[table].fieldNames() if name not in first]
+    """JSON lines, plain or .gz, under the table's schema; blank lines are skipped, bad ones raise.
+
+    A scan with a schema cannot tell an absent column from nulls, so a column the first record
+    lacks is looked for in the rest of the file before it counts as missing.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    first = lines.limit(1).collect()
+    present = set(json.loads(first[0]["value"])) if first else set()
+    missing = [
+        name
+        for name in RAW[table].fieldNames()
+        if name not in present and lines.where(F.array_contains(F.json_object_keys("value"), name)).isEmpty()
+    ]
     if missing:
         raise ValueError(f"{table} lacks required columns: {missing}")
     return spark.read.schema(RAW[table]).option("mode", "FAILFAST").json(path)
 
 
-def _first_fields(spark, path):
-    """Field names of the first record: a scan with a schema cannot tell an absent column from nulls."""
-    line = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
-    return set(json.loads(line[0]["value"])) if line else set()
-
-
 def read_reference(spark, path, pretty=True):
     """Consecutive JSON objects of a knowledge base.
 

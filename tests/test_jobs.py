@@ -26,6 +26,9 @@ def test_json_lines(spark, tmp_path):
         read_json_lines(spark, write(tmp_path / "bad.json", lines + "{oops\n"), "customer").collect()
     with pytest.raises(ValueError, match="birth_year"):
         read_json_lines(spark, write(tmp_path / "less.json", '{"customer_id": "a", "city": "x"}\n'), "customer")
+    late = '{"customer_id": "a", "city": "x"}\n{"customer_id": "b", "birth_year": 1990}\n'
+    rows = read_json_lines(spark, write(tmp_path / "late.json", late), "customer").orderBy("customer_id").collect()
+    assert [tuple(r) for r in rows] == [("a", "x", None), ("b", None, 1990)]
     with pytest.raises(Exception, match="(?i)path"):
         read_json_lines(spark, str(tmp_path / "absent.json"), "customer")
 
