@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.months import month_index
 from ..functions.numeric import flag
+from ..storage import materialise
 from .ranking import with_position
 
 # Rows of the ordered table that one task handles when a customer is split.
@@ -117,14 +118,16 @@ def _prior_bills_split(rows, chunk_rows):
     The ordered rows are cut into chunks; the last rows of a chunk are repeated at the head of
     the next one, so that every row sees all its prior rows inside its own chunk.
     """
-    placed = with_position(rows, [F.col("customer_id"), *_bill_order()], "_position")
+    # A written row number parts rows that are equal in every column, so that no range is stuck with them all.
+    numbered = materialise(rows.withColumn("_row", F.monotonically_increasing_id()))
+    placed = with_position(numbered, [F.col("customer_id"), *_bill_order(), F.col("_row")], "_position")
     chunk_rows = max(chunk_rows, _PRIOR_ROWS)
     chunk = F.floor(F.col("_position") / chunk_rows)
     into_next = F.col("_position") % chunk_rows >= chunk_rows - _PRIOR_ROWS
     chunks = F.when(into_next, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
     repeated = placed.withColumn("_home", chunk).withColumn("_chunk", F.explode(chunks))
     done = _prior_bills(repeated, ["_chunk", "customer_id"], [F.col("_position")])
-    return done.where("_chunk = _home").drop("_position", "_home", "_chunk")
+    return done.where("_chunk = _home").drop("_row", "_position", "_home", "_chunk")
 
 
 def _shock(rows, threshold):

@@ -110,7 +110,7 @@ def choose(rows):
     return chosen
 
 
-def picked_rows(features, index, key="complaint_id", k=3, **options):
+def picked_rows(features, index, key="complaint_id", k=3, nfkc=False):
     """The chosen rows with their documents and template texts, one record per case."""
     spark = features.sparkSession
     chosen = choose(candidates(features, key).collect())
@@ -120,8 +120,8 @@ def picked_rows(features, index, key="complaint_id", k=3, **options):
         data, f"case int, case_name string, business_use_case string, calm boolean, `{key}` {kind}, reason string"
     )
     rows = features.join(F.broadcast(labels), key)
-    queries = rows.withColumn("query", complaint_query(rows.columns)).select(key, "query")
-    documents = with_documents(retrieve(index, queries, k, key=key, **options), index, key, content=True)
+    queries = rows.withColumn("query", complaint_query(rows.columns, nfkc)).select(key, "query")
+    documents = with_documents(retrieve(index, queries, k, key=key, nfkc=nfkc), index, key, content=True)
     full = template_texts(rows.join(documents, key, "left"))
     weak = F.col("calm") & (F.size("retrieved_documents") > 0) & (F.col("retrieved_documents")[0]["score"] < MIN_CONFIDENCE)
     return full.select(

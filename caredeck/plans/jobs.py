@@ -1,6 +1,6 @@
 """The three jobs: features, training, retrieval evaluation. Each reads and writes tables.
 
-    spark-submit ... -m caredeck.plans.jobs features --raw ... --processed ... --out ...
+    spark-submit --py-files caredeck.zip run_job.py features --raw ... --processed ... --out ...
 """
 
 import argparse
@@ -34,7 +34,7 @@ HINT = "run the features job first"
 KEY = "complaint_key"
 
 
-def features_job(spark, raw, processed, out, rebuild=False, nfkc=False):
+def features_job(spark, raw, processed, out, rebuild=False, nfkc=True):
     """Feature table, rollups, retrieval quality, representative rows and findings."""
     tables = load_or_build(spark, raw, processed, rebuild)
     built = build_features(tables.customer, tables.spending, tables.complaints, nfkc=nfkc)
@@ -141,14 +141,14 @@ def training_job(spark, processed, out, model_path):
     return best
 
 
-def retrieval_job(spark, processed, out, sample_size=200, nfkc=False):
+def retrieval_job(spark, processed, out, sample_size=200, nfkc=True):
     """Retrieval quality and reply quality on written features."""
     features = read_table(spark, f"{processed}/{FEATURES}", HINT)
     index = knowledge.build_index(read_table(spark, f"{processed}/reference_clean.parquet", HINT), nfkc)
     evaluated = materialise(retrieval.evaluate_retrieval(index, features, KEY, nfkc=nfkc))
     save_table(retrieval.retrieval_metrics(evaluated), f"{out}/tables/rag_retrieval_metrics.csv")
     sample = replies.head_rows(features, sample_size, [KEY])
-    queries = sample.withColumn("query", retrieval.complaint_query(sample.columns))
+    queries = sample.withColumn("query", retrieval.complaint_query(sample.columns, nfkc))
     hits = retrieval.retrieve(index, queries, 3, key=KEY, nfkc=nfkc)
     answered = sample.join(retrieval.with_documents(hits, index, KEY), KEY, "left")
     keys = (KEY, "customer_id", "problem_category")
@@ -168,7 +168,7 @@ def main():
     parser.add_argument("--sample-size", type=int, default=200)
     parser.add_argument("--suffix", default=".json", help=".json or .json.gz")
     parser.add_argument("--rebuild", action="store_true")
-    parser.add_argument("--nfkc", action="store_true", help="compose compatibility characters")
+    parser.add_argument("--jvm-text", action="store_true", help="leave compatibility characters as they are")
     args = parser.parse_args()
     spark = build_session(f"caredeck-{args.job}")
     try:
@@ -184,12 +184,8 @@ def _run(spark, args):
             "reference": "reference_material",
         }
         raw = {name: f"{args.raw}/{file}{args.suffix}" for name, file in files.items()}
-        features_job(spark, raw, args.processed, args.out, args.rebuild, args.nfkc)
+        features_job(spark, raw, args.processed, args.out, args.rebuild, not args.jvm_text)
     elif args.job == "training":
         training_job(spark, args.processed, args.out, args.model)
     else:
-        retrieval_job(spark, args.processed, args.out, args.sample_size, args.nfkc)
-
-
-if __name__ == "__main__":
-    main()
+        retrieval_job(spark, args.processed, args.out, args.sample_size, not args.jvm_text)
