@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from caredeck.operators import risk, rollups
 from caredeck.operators.conversations import flatten_complaints
