@@ -6,10 +6,8 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,8 +18,8 @@ CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1", "severe": "tox
 DECIDING = "toxic"
 #: The models are fitted on about this many labelled rows, chosen by a hash of doc_id.
 LABELLED_ROWS = 20_000
-#: That sample is small, so its fits run on this many partitions.
-SAMPLE_PARTITIONS = 2
+PENALTY = 5e-4
+STEPS = 80
 WORDS_PER_CATEGORY = 1_500
 LEAST_DOCUMENTS = 5
 LEAST_CHI2 = 12.0
@@ -81,11 +79,11 @@ def _count_batches(batches, categories):
 
 
 def _known_batches(batches, words, keep):
-    features = Features({w: w for w in words})
+    features = Features({w: i for i, w in enumerate(words)})
     for batch in batches:
         found = [sorted(features.of(text)) for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in keep), pa.array(found, pa.list_(pa.string()))], names=[*keep, "words"]
+            [*(batch.column(c) for c in keep), pa.array(found, pa.list_(pa.int64()))], names=[*keep, "words"]
         )
 
 
@@ -148,6 +146,76 @@ def vocabulary(sample):
     return sorted(words)
 
 
+@dataclass
+class Linear:
+    """A logistic model: intercept, weight per word, weights of the earlier categories' probabilities."""
+
+    intercept: float
+    by_word: list
+    by_earlier: list
+
+
+class Rows:
+    """The labelled sample in compressed rows: word numbers, truths, folds and probabilities so far."""
+
+    def __init__(self, table, words):
+        table = table.sort_by([("doc_id", "ascending")])
+        found = table.column("words").combine_chunks()
+        self.width, self.n = words, len(table)
+        self.at = found.flatten().to_numpy(zero_copy_only=False)
+        self.row = np.repeat(np.arange(self.n), np.diff(found.offsets.to_numpy()))
+        self.fold = table.column("fold").to_numpy()
+        self.truth = {c: table.column(c).to_numpy() for c in CATEGORIES}
+        self.earlier = np.zeros((self.n, 0))
+
+    def margins(self, weights):
+        words, rest = weights[: self.width], weights[self.width :]
+        z = np.bincount(self.row, words[self.at], minlength=self.n) + rest[0]
+        return z + self.earlier @ rest[1:]
+
+    def loss(self, weights, truth, use):
+        """Penalised mean log loss over the rows of `use`, and its gradient."""
+        z, total = self.margins(weights), use.sum()
+        value = (use * (np.logaddexp(0, z) - truth * z)).sum() / total
+        slope = use * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - truth) / total
+        back = np.bincount(self.at, slope[self.row], minlength=self.width)
+        grad = np.concatenate((back, [slope.sum()], self.earlier.T @ slope))
+        held = weights.copy()
+        held[self.width] = 0
+        return value + PENALTY / 2 * held @ held, grad + PENALTY * held
+
+    def fit(self, category, use):
+        """Weights by limited-memory BFGS with a halving line search."""
+        truth = self.truth[category]
+        x = np.zeros(self.width + 1 + self.earlier.shape[1])
+        f, g = self.loss(x, truth, use)
+        steps = []
+        for _ in range(STEPS):
+            d, kept = -g, []
+            for s, y, rho in reversed(steps):
+                a = rho * (s @ d)
+                kept.append(a)
+                d = d - a * y
+            if steps:
+                s, y, _ = steps[-1]
+                d = d * ((s @ y) / (y @ y))
+            for (s, y, rho), a in zip(steps, reversed(kept), strict=True):
+                d = d + s * (a - rho * (y @ d))
+            slope, t = g @ d, 1.0
+            if slope > -1e-10:
+                break
+            while True:
+                to, (f2, g2) = x + t * d, self.loss(x + t * d, truth, use)
+                if f2 <= f + 1e-4 * t * slope or t < 1e-8:
+                    break
+                t /= 2
+            s, y = to - x, g2 - g
+            if s @ y > 1e-14:
+                steps = [*steps[-9:], (s, y, 1 / (s @ y))]
+            x, f, g = to, f2, g2
+        return x
+
+
 @dataclass
 class Chain:
     """The vocabulary and, per category in chain order, the fitted linear model."""
@@ -157,58 +225,39 @@ class Chain:
 
     def score(self, rows):
         """`rows` with `text` -> the other columns and a probability column p_<category> per link of the chain."""
-        weights = []
-        for model in self.models.values():
-            w = model.coefficients.toArray()
-            weights.append((float(model.intercept), w[: len(self.words)].tolist(), w[len(self.words) :].tolist()))
+        weights = [(m.intercept, m.by_word, m.by_earlier) for m in self.models.values()]
         fields = [f for f in rows.schema.fields if f.name != "text"]
         schema = T.StructType([*fields, *(T.StructField(f"p_{c}", T.DoubleType()) for c in CATEGORIES)])
         return rows.mapInArrow(functools.partial(_score_batches, words=self.words, weights=weights), schema)
 
 
-def _assembled(rows, category, order):
-    earlier = [f"p_{c}" for c in order[: order.index(category)]]
-    return VectorAssembler(inputCols=["counts", *earlier], outputCol="inputs").transform(rows)
-
-
-def _predict(rows, model, category, order):
-    out = model.transform(_assembled(rows, category, order))
-    return out.withColumn(f"p_{category}", vector_to_array("probability")[1]).drop("inputs", "rawPrediction", "probability", "prediction")
-
-
-def _fit(rows, category, order):
-    learner = LogisticRegression(featuresCol="inputs", labelCol=category, regParam=5e-4, maxIter=40, standardization=False)
-    return learner.fit(_assembled(rows, category, order))
-
-
 def fit(docs, labels):
     """The fitted chain, or None without labelled documents or telling words.
 
     In chain order, a category's model is fitted on all sampled rows with the earlier categories' out-of-fold
     probabilities as further inputs: for those, models fitted without a row's fold predict it, so that later
-    models meet probabilities as uncertain as the ones they will meet in use.
+    models meet probabilities as uncertain as the ones they will meet in use. Spark gathers the sample's features;
+    the sample is bounded by LABELLED_ROWS, and the fits run on the driver.
     """
     sample = labelled_sample(docs, labels)
     words = vocabulary(sample) if not sample.isEmpty() else []
     if not words:
         return None
-    keep = ["fold", *CATEGORIES]
-    schema = T.StructType([*(sample.schema[c] for c in keep), T.StructField("words", T.ArrayType(T.StringType()))])
+    keep = ["doc_id", "fold", *CATEGORIES]
+    schema = T.StructType([*(sample.schema[c] for c in keep), T.StructField("words", T.ArrayType(T.LongType()))])
     known = sample.select("text", *keep).mapInArrow(functools.partial(_known_batches, words=words, keep=keep), schema)
-    counter = CountVectorizerModel.from_vocabulary(words, inputCol="words", outputCol="counts", minTF=1.0).setBinary(True)
-    rows = materialise(counter.transform(known).drop("words").repartition(SAMPLE_PARTITIONS))
-    order, models = list(CATEGORIES), {}
-    for category in order:
-        models[category] = _fit(rows, category, order)
-        if category != order[-1]:
-            parts = [
-                _predict(rows.filter(F.col("fold") == f), _fit(rows.filter(F.col("fold") != f), category, order), category, order)
-                for f in range(FOLDS)
-            ]
-            whole = parts[0]
-            for part in parts[1:]:
-                whole = whole.unionByName(part)
-            rows = materialise(whole)
+    rows, models = Rows(known.toArrow(), len(words)), {}
+    everyone = np.ones(rows.n)
+    for category in CATEGORIES:
+        x = rows.fit(category, everyone)
+        models[category] = Linear(float(x[rows.width]), x[: rows.width].tolist(), x[rows.width + 1 :].tolist())
+        unseen = np.zeros(rows.n)
+        for f in range(FOLDS):
+            out = rows.fold == f
+            if out.any():
+                z = rows.margins(rows.fit(category, (~out).astype(float)) if not out.all() else x)
+                unseen[out] = 1 / (1 + np.exp(-np.clip(z[out], -500, 500)))
+        rows.earlier = np.column_stack((rows.earlier, unseen))
     return Chain(words, models)
 
 
