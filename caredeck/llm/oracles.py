@@ -13,9 +13,9 @@ parts as (select node, min(other) as component_id from reach group by node)
 
 OP1 = """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as e from embeddings
+  select vec_id, [floor(256 * x::double) for x in embedding] as e from embeddings
   where embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
 ),
 s as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
@@ -29,7 +29,7 @@ OP7 = f"""
 with recursive u as (
   select vec_id, embedding::double[] as e, sqrt(list_inner_product(embedding::double[], embedding::double[])) as n from embeddings
   where embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
 ),
 both_ways as (
   select p.vec_id as a, q.vec_id as b from u p join u q on p.vec_id <> q.vec_id and len(p.e) = len(q.e)
@@ -69,7 +69,7 @@ with recursive w as (
   from documents
 ),
 s as (
-  select distinct doc_id, unnest(list_transform(range(1, greatest(len(ws) - 3, 2)), i -> array_to_string(list_slice(ws, i, i + 4), ' '))) as g
+  select distinct doc_id, unnest([array_to_string(list_slice(ws, i, i + 4), ' ') for i in range(1, greatest(len(ws) - 3, 2))]) as g
   from w where len(ws) > 0
 ),
 n as (select doc_id, count(*) as n_shingles from s group by doc_id),
