@@ -15,8 +15,11 @@ REGISTERS = 128
 MANTISSA_BITS = 10
 PER_BAND = 4
 PERCENT = 75
-#: An estimate has a standard error of at most 0.045 at 128 registers; pairs this far below the threshold are dropped.
-ESTIMATE_SLACK = 0.25
+#: At the threshold an estimate's standard error is 0.038 with 128 registers; pairs nearly five of them below are dropped.
+ESTIMATE_SLACK = 0.18
+#: Buckets of up to this many open members are compared by a join, larger ones in tiles of TILE members.
+SMALL = 32
+TILE = 1024
 
 SKETCH_SCHEMA = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"
 
@@ -116,14 +119,18 @@ def _confirm_batches(batches):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _confirmed(pairs, reps, docs):
-    """Estimate `pairs` (a, b) from registers, then confirm the likely ones on the texts."""
+def _likely(pairs, reps):
+    """The pairs (a, b) whose registers make the threshold possible."""
     side = lambda x: reps.select(F.col("doc_id").alias(x), F.col("bands").alias(f"s_{x}"), F.col("n_shingles").alias(f"n_{x}"))
-    likely = (
+    return (
         pairs.join(side("a"), "a").join(side("b"), "b")
         .filter(_estimated("s_a", "s_b", "n_a", "n_b") >= PERCENT / 100 - ESTIMATE_SLACK)
         .select("a", "b").distinct()
     )
+
+
+def _confirmed(likely, docs):
+    """The pairs whose texts reach the threshold; only texts of documents in a pair are joined to them."""
     likely = materialise(likely)
     wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select(F.col("b").alias("doc_id"))).distinct()
     full = materialise(texts(docs).filter("doc_id is not null and text is not null").join(wanted, "doc_id", "left_semi"))
@@ -134,13 +141,79 @@ def _confirmed(pairs, reps, docs):
     return materialise(with_texts.mapInArrow(_confirm_batches, "a long, b long"))
 
 
+def _tile(group):
+    """Pairs of two tiles of a bucket, of different components, whose registers make the threshold possible.
+
+    Only sizes that allow it meet (the smaller set has three quarters of the larger at least), and a pair is judged
+    in the first band that puts it into one bucket, so it comes once.
+    """
+    group = group.sort_values("n_shingles", kind="stable")
+    bands = np.ascontiguousarray(np.stack(group["bands"].to_numpy()), np.int64)
+    sketch = bands.view(np.uint16)
+    used = (sketch > 0).astype(np.float32)
+    ids, size, component = (group[c].to_numpy(np.int64) for c in ("doc_id", "n_shingles", "component"))
+    band, i, j = (int(group[c].iloc[0]) for c in ("band", "i", "j"))
+    first, second = (np.flatnonzero(group["tile"].to_numpy() == t) for t in (i, j))
+    out = []
+    for at in range(0, len(first), 64):
+        x = first[at : at + 64]
+        y = second[(100 * size[second] >= PERCENT * size[x[0]]) & (PERCENT * size[second] <= 100 * size[x[-1]])]
+        if i == j:
+            y = y[y > x[0]]
+        if not len(y):
+            continue
+        same = ((sketch[x][:, None, :] == sketch[y][None, :, :]) & (sketch[x][:, None, :] > 0)).sum(axis=2)
+        filled = used[x].sum(1)[:, None] + used[y].sum(1)[None, :] - used[x] @ used[y].T
+        n, m = size[x][:, None].astype(float), size[y][None, :].astype(float)
+        chance = 0.7213 * n * m / (n + m) ** 2 / 2**MANTISSA_BITS
+        near = (same / filled - chance) / (1 - chance) >= PERCENT / 100 - ESTIMATE_SLACK
+        near &= component[x][:, None] != component[y][None, :]
+        if i == j:
+            near &= x[:, None] < y[None, :]
+        a, b = np.nonzero(near)
+        a, b = x[a], y[b]
+        new = ~((bands[a, :band] == bands[b, :band]) & (bands[a, :band] != 0)).any(axis=1)
+        out.append((np.minimum(ids[a[new]], ids[b[new]]), np.maximum(ids[a[new]], ids[b[new]])))
+    a, b = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 2
+    return pd.DataFrame({"a": a, "b": b})
+
+
+def _across(members, found, reps):
+    """Likely pairs of different components in the buckets that hold several, beyond those with the hub."""
+    parts = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id")
+    )
+    split = (
+        parts.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .filter("lo < hi").select("band", "key", "n")
+    )
+    open_rows = materialise(parts.join(split, ["band", "key"]).filter("doc_id <> hub").select("band", "key", "doc_id", "component", "n"))
+    small = open_rows.filter(F.col("n") <= SMALL)
+    left = small.select("band", "key", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
+    right = small.select("band", "key", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
+    pairs = left.join(right, ["band", "key"]).filter("a < b and ca <> cb").select("a", "b").distinct()
+    large = (
+        open_rows.filter(F.col("n") > SMALL).join(reps, "doc_id")
+        .withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
+        .withColumn("tile", F.expr("cast(pmod(xxhash64(doc_id, 'tile'), tiles) as int)"))
+        .withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
+        .select(
+            "band", "key", "doc_id", "component", "n_shingles", "bands", "tile",
+            F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
+        )
+    )
+    tiled = large.groupBy("band", "key", "i", "j").applyInPandas(_tile, "a long, b long")
+    return _likely(pairs, reps).union(tiled).distinct()
+
+
 def near_duplicates(docs):
     """Row per document: doc_id, n_shingles, component_id, kept; links are Jaccard >= 0.75 on word 5-shingles.
 
     Documents of one word sequence are one class, which its smallest doc_id stands for. The representatives'
     HyperMinHash registers form 32 bands of four; a band's members are first compared with its smallest doc_id
-    only, which joins a group of near copies in linear work. Bands that still hold two components are then
-    compared across components, everything against all but the largest one, so no link is lost to the shortcut.
+    only, which joins a group of near copies in linear work. In buckets that still hold two components, pairs of
+    different components are then compared by their registers, in tiles that emit likely pairs alone, so no link is
+    lost to the shortcut.
     Pairs are estimated from the registers (chance collisions taken off) and confirmed on the full sets. A pair at
     the threshold shares no band with a chance of (1 - 0.75^4)^32 = 5e-6.
 
@@ -158,25 +231,9 @@ def near_duplicates(docs):
     shared = bands.groupBy("band", "key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).filter("hub < last")
     members = materialise(bands.join(shared.drop("last"), ["band", "key"]))
     stars = members.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = _confirmed(stars, reps, docs)
+    links = _confirmed(_likely(stars, reps), docs)
     found = materialise(components(links))
-
-    parts = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id")
-    )
-    sizes = parts.groupBy("band", "key", "component").count()
-    split = (
-        sizes.groupBy("band", "key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", "count").alias("home"))
-        .filter("parts > 1").drop("parts")
-    )
-    open_rows = materialise(parts.join(split, ["band", "key"]).select("band", "key", "doc_id", "component", "home", "hub"))
-    left = open_rows.filter("component <> home and doc_id <> hub").select("band", "key", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
-    right = open_rows.filter("doc_id <> hub").select("band", "key", F.col("doc_id").alias("y"), F.col("component").alias("cy"), "home")
-    across = (
-        left.join(right, ["band", "key"]).filter("cx <> cy and (cy = home or x < y)")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    )
-    more = _confirmed(materialise(across), reps, docs)
+    more = _confirmed(_across(members, found, reps), docs)
     final = found
     if not more.isEmpty():
         final = materialise(components(links.union(more)))
