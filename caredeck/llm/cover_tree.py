@@ -17,6 +17,8 @@ LEAF = 24
 FIRST_LEAVES = 32
 SHRINK = 0.7
 EXACT = 2.0**53
+#: Below every score; no score yet.
+NONE = np.int64(1 - 2**63)
 
 RESULT = "query_id long, vec_id long, score long"
 
@@ -37,9 +39,8 @@ class CoverTree:
         if len(points):
             away = self._distance(0, self.order)
             self._grow(self.order, away)
-        self.center, self.radius, self.start, self.end = (
-            np.array(x) for x in (self.center, self.radius, self.start, self.end)
-        )
+        self.center, self.start, self.end = (np.array(x, np.int64) for x in (self.center, self.start, self.end))
+        self.radius = np.array(self.radius, np.float64)
 
     def _distance(self, center, members):
         gap = self.points[members] - self.points[center]
@@ -107,13 +108,13 @@ class DualTree:
         most = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * queries.shape[1]
         self.whole = most < EXACT
         self.q_norm = np.sqrt(np.einsum("ij,ij->i", queries, queries))[self.q.center]
-        self.score = np.full((len(queries), k), -np.inf)
+        self.score = np.full((len(queries), k), NONE)
         self.best = np.full((len(queries), k), -1, np.int64)
 
     def _products(self, q, x):
         if self.whole:
-            return self.q.points[q] @ self.x.points[x].T
-        return (self.q.points[q].astype(np.int64) @ self.x.points[x].astype(np.int64).T).astype(np.float64)
+            return (self.q.points[q] @ self.x.points[x].T).astype(np.int64)
+        return self.q.points[q].astype(np.int64) @ self.x.points[x].astype(np.int64).T
 
     def _leaves(self, qn, xns):
         """Scores of a query leaf against the points of several data leaves."""
@@ -121,7 +122,7 @@ class DualTree:
         x = np.concatenate([self.x.order[a:b] for a, b in zip(self.x.start[xns].tolist(), self.x.end[xns].tolist(), strict=True)])
         found = self._products(q, x)
         ids = np.broadcast_to(self.x_ids[x], found.shape)
-        found = np.where(ids == self.q_ids[q][:, None], -np.inf, found)
+        found = np.where(ids == self.q_ids[q][:, None], NONE, found)
         score = np.concatenate((self.score[q], found), axis=1)
         ids = np.concatenate((self.best[q], ids), axis=1)
         pick = np.lexsort((ids, -score), axis=1)[:, : self.k]
@@ -130,14 +131,14 @@ class DualTree:
 
     def _worst(self, nodes):
         kth = self.score[:, -1][self.q.order]
-        return np.minimum.reduceat(np.append(kth, np.inf), np.column_stack((self.q.start[nodes], self.q.end[nodes])).ravel())[::2]
+        return np.minimum.reduceat(np.append(kth, -NONE), np.column_stack((self.q.start[nodes], self.q.end[nodes])).ravel())[::2]
 
     def run(self):
         """(query_id, vec_id, score) of everything found."""
         if len(self.q_ids) and len(self.x_ids):
             self._descend()
-        row, place = np.nonzero((self.best >= 0) & np.isfinite(self.score))
-        return self.q_ids[row], self.best[row, place], self.score[row, place].astype(np.int64)
+        row, place = np.nonzero(self.score > NONE)
+        return self.q_ids[row], self.best[row, place], self.score[row, place]
 
     def _descend(self):
         pairs, leaves = (np.zeros(1, np.int64), np.zeros(1, np.int64)), []
