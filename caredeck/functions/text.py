@@ -76,8 +76,8 @@ def phrase_count(text, terms):
 
 
 def reason(hits, prefix="keyword"):
-    """'prefix:hit' for the first five hits, joined by '; '."""
-    return F.array_join(F.transform(F.slice(hits, 1, 5), lambda hit: F.concat(F.lit(f"{prefix}:"), hit)), "; ")
+    """'prefix:hit' for every hit, joined by '; '."""
+    return F.array_join(F.transform(hits, lambda hit: F.concat(F.lit(f"{prefix}:"), hit)), "; ")
 
 
 def word_count(text, nfkc=False):

@@ -45,7 +45,9 @@ def bill_shock(spending, complaints, threshold=0.30, hot_rows=CHUNK_ROWS):
     # A hot customer still has few distinct months; only the row order needs the split.
     months = hot_part.select("customer_id", "month_index").distinct()
     context = _month_context(months, flags.join(hot, "customer_id", "left_semi"))
-    split = _prior_bills_split(hot_part, hot_rows).join(context, ["customer_id", "month_index"])
+    context = context.withColumnsRenamed({"customer_id": "_customer", "month_index": "_month"})
+    same = F.expr("customer_id = _customer and month_index <=> _month")
+    split = _prior_bills_split(hot_part, hot_rows).join(context, same).drop("_customer", "_month")
     return _shock(cold.unionByName(split).unionByName(nobody), threshold)
 
 

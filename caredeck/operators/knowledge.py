@@ -21,7 +21,6 @@ TITLE = r"(?mdU)^#\s*(.+)$"
 CATEGORY = r"(?iuU)Kategori\s*[:：]\s*([^\n#]+)"
 PROBLEM = r"(?iuU)Sorun\s*[:：]\s*([^\n#]+)"
 SOLUTION = r"(?iusdU)(?:Cozum|Çözüm) Adimlari\s*[:：]?\s*(.*?)(?:\n#+\s*Notlar|$)"
-SNIPPET_CHARS = 450
 
 
 def parse_sections(reference, nfkc=False):

@@ -51,8 +51,8 @@ def score_quality(scored, by=()):
     both = (F.max("positives") > 0) & (F.max("negatives") > 0)
     won = F.sum(F.col("pos") * (negatives_below + F.col("neg") / 2.0))
     return steps.groupBy(*by).agg(
-        F.when(both, F.try_divide(won, F.max("positives") * F.max("negatives"))).alias("roc_auc"),
-        F.when(both, F.try_divide(F.sum(F.col("pos") * F.col("hits") / F.col("seen")), F.max("positives"))).alias(
+        F.when(both, F.try_divide(won, F.max("positives").cast("double") * F.max("negatives"))).alias("roc_auc"),
+        F.when(both, F.try_divide(F.sum(F.col("pos").cast("double") * F.col("hits") / F.col("seen")), F.max("positives"))).alias(
             "average_precision_pr_auc"
         ),
         (

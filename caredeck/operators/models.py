@@ -128,9 +128,10 @@ def predict(model, table, by=()):
     return with_percentile(score_rows(model, table, "risk_probability"), "risk_probability", by)
 
 
-def top_risk(predicted, limit=1000, keys=("customer_id", "billing_year_month")):
-    """The riskiest rows: a report of at most `limit`."""
-    return predicted.orderBy(F.desc("risk_probability"), *keys).limit(limit)
+def top_risk(predicted, limit=None, keys=("customer_id", "billing_year_month")):
+    """The rows, riskiest first; with `limit`, a report of at most so many."""
+    ordered = predicted.orderBy(F.desc("risk_probability"), *keys)
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def choose_model(metrics):

@@ -172,11 +172,13 @@ def reply_metrics(evaluated):
     )
 
 
-def reply_failures(evaluated, limit=100, keys=("customer_id", "problem_category")):
-    """Replies that fell back or lack a source: an extract of at most `limit` rows."""
-    return evaluated.where(F.col("fallback_used") | ~F.col("source_groundedness_flag")).orderBy(*keys).limit(limit)
+def reply_failures(evaluated, limit=None, keys=("customer_id", "problem_category")):
+    """Replies that fell back or lack a source; with `limit`, at most so many."""
+    failed = evaluated.where(F.col("fallback_used") | ~F.col("source_groundedness_flag"))
+    return head_rows(failed, limit, keys)
 
 
 def head_rows(df, limit, keys):
-    """First `limit` rows in key order, the form of the published extracts."""
-    return df.orderBy(*keys).limit(limit)
+    """The rows in key order; with `limit`, the first so many."""
+    ordered = df.orderBy(*keys)
+    return ordered if limit is None else ordered.limit(limit)

@@ -103,10 +103,11 @@ def _high_value(complaints):
     return complaints.where(F.col("high_value_customer") == 1)
 
 
-def high_value_at_risk(complaints, limit=10_000, keys=("customer_id", "billing_year_month")):
-    """High-value rows at high risk, riskiest first: an export list of at most `limit` rows."""
+def high_value_at_risk(complaints, limit=None, keys=("customer_id", "billing_year_month")):
+    """High-value rows at high risk, riskiest first; with `limit`, at most so many."""
     at_risk = _high_value(complaints).where(F.col("business_risk_level") == "high")
-    return at_risk.orderBy(F.desc("business_risk_score"), *keys).limit(limit)
+    ordered = at_risk.orderBy(F.desc("business_risk_score"), *keys)
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def high_value_at_risk_summary(complaints):

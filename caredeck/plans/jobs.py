@@ -54,7 +54,7 @@ def features_job(spark, raw, processed, out, rebuild=False, nfkc=True):
         save_table(table, f"{out}/tables/{name}.csv")
     for name in ("rag_retrieval_readiness_summary", "rag_retrieval_metrics", "rag_retrieval_summary"):
         save_table(quality, f"{out}/tables/{name}.csv")
-    save_table(replies.head_rows(evaluated, 200, [KEY]), f"{out}/tables/rag_sample_results.csv")
+    save_table(replies.head_rows(evaluated, None, [KEY]), f"{out}/tables/rag_sample_results.csv")
     save_table(picks.picked_rows(features, index, KEY, nfkc=nfkc), f"{out}/demo_cases/final_demo_cases.json")
     report = findings.findings(tables.customer, tables.spending, features, bills, quality)
     save_table(report, f"{out}/final/final_executive_summary.csv")
@@ -141,7 +141,7 @@ def training_job(spark, processed, out, model_path):
     return best
 
 
-def retrieval_job(spark, processed, out, sample_size=200, nfkc=True):
+def retrieval_job(spark, processed, out, sample_size=None, nfkc=True):
     """Retrieval quality and reply quality on written features."""
     features = read_table(spark, f"{processed}/{FEATURES}", HINT)
     index = knowledge.build_index(read_table(spark, f"{processed}/reference_clean.parquet", HINT), nfkc)
@@ -154,7 +154,7 @@ def retrieval_job(spark, processed, out, sample_size=200, nfkc=True):
     keys = (KEY, "customer_id", "problem_category")
     rows = materialise(replies.reply_rows(replies.grounded_replies(answered), keys))
     save_table(replies.reply_metrics(rows), f"{out}/tables/rag_generation_metrics.csv")
-    save_table(replies.head_rows(rows, 200, [KEY]), f"{out}/tables/rag_eval_sample.csv")
+    save_table(replies.head_rows(rows, None, [KEY]), f"{out}/tables/rag_eval_sample.csv")
     save_table(replies.reply_failures(rows, keys=(KEY,)), f"{out}/tables/rag_failure_cases.csv")
 
 
@@ -165,7 +165,7 @@ def main():
     parser.add_argument("--processed", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--model", help="folder of the saved model")
-    parser.add_argument("--sample-size", type=int, default=200)
+    parser.add_argument("--sample-size", type=int, default=None)
     parser.add_argument("--suffix", default=".json", help=".json or .json.gz")
     parser.add_argument("--rebuild", action="store_true")
     parser.add_argument("--jvm-text", action="store_true", help="leave compatibility characters as they are")

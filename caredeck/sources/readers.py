@@ -7,6 +7,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.conversations import flatten_complaints
 from ..schemas import RAW, REFERENCE, validate_columns
@@ -40,11 +41,12 @@ def read_json_lines(spark, path, table):
     return spark.read.schema(RAW[table]).option("mode", "FAILFAST").json(path)
 
 
-def read_reference(spark, path, pretty=True):
+def read_reference(spark, path, pretty=False):
     """Consecutive JSON objects of a knowledge base.
 
-    `pretty` expects each object to close with a brace at the start of a line, which lets Spark
-    split files; otherwise objects may follow each other in any layout and a file is one task.
+    Objects may follow each other in any layout; a file is one task. `pretty` lets Spark split files instead, and
+    expects each object to close with a brace at the start of a line; a piece that holds anything but one whole
+    object fails the read.
     """
     if pretty:
         return _read_pretty(spark, path)
@@ -66,10 +68,11 @@ def read_reference(spark, path, pretty=True):
 
 def _read_pretty(spark, path):
     pieces = spark.read.option("lineSep", "\n}").text(path).where(F.trim(F.translate("value", "\n\r\t", "")) != "")
+    # An array of the piece parses only if the piece is one object; two objects lack the comma between them.
     parsed = pieces.select(
-        F.from_json(F.concat("value", F.lit("\n}")), REFERENCE, {"mode": "FAILFAST"}).alias("record")
+        F.from_json(F.concat(F.lit("["), "value", F.lit("\n}]")), T.ArrayType(REFERENCE), {"mode": "FAILFAST"}).alias("records")
     )
-    return parsed.select("record.*")
+    return parsed.select(F.inline_outer("records"))
 
 
 @dataclass(frozen=True)
@@ -80,16 +83,16 @@ class CareTables:
     reference: DataFrame
 
 
-def load_or_build(spark, raw, processed, rebuild=False):
+def load_or_build(spark, raw, processed, rebuild=False, pretty=False):
     """The processed tables, read if all four are complete, else built from `raw` and written.
 
-    `raw` maps customer, spending, complaints and reference to paths.
+    `raw` maps customer, spending, complaints and reference to paths; `pretty` is read_reference's.
     """
     paths = {name: f"{processed}/{file}" for name, file in PROCESSED.items()}
     if rebuild or not all(exists(spark, f"{path}/_SUCCESS") for path in paths.values()):
         built = {name: read_json_lines(spark, raw[name], name) for name in ("customer", "spending", "complaints")}
         built["complaints"] = flatten_complaints(validate_columns(built["complaints"], "complaints"))
-        built["reference"] = validate_columns(read_reference(spark, raw["reference"]), "reference")
+        built["reference"] = validate_columns(read_reference(spark, raw["reference"], pretty), "reference")
         for name, df in built.items():
             save_table(df, paths[name])
     return CareTables(**{name: spark.read.parquet(path) for name, path in paths.items()})

@@ -9,5 +9,5 @@ def save_table(df, path):
     elif path.endswith(".json"):
         writer.json(path)
     else:
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("escape", '"').csv(path)
     return path

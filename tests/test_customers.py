@@ -70,24 +70,25 @@ def test_split_customer_equals_whole_customer(spark):
     """A customer with most of the rows, several per month, and the same customer cut into chunks."""
     rows = [("hot", f"20{10 + i // 12 % 8}-{i % 12 + 1:02d}", float(i * 7 % 13), 1.0) for i in range(300)]
     rows += [("hot", "2016-05", 4.0, 1.0)] * 60 + [("b", f"2012-{i:02d}", float(i), 1.0) for i in range(1, 10, 3)]
-    rows += [(None, "2012-01", 5.0, 1.0)] * 2
+    rows += [(None, "2012-01", 5.0, 1.0)] * 2 + [("hot", None, 2.0, 1.0)]
     bills = spark.createDataFrame(rows, SPENDING)
     complaints = spark.createDataFrame(
         [("hot", "2012-03", "billing"), ("hot", "2013-01", "data"), ("b", "2012-02", "billing")], COMPLAINTS
     )
     whole = bill_shock(bills, complaints)
     split = bill_shock(bills, complaints, hot_rows=10)
+    finer = bill_shock(bills, complaints, hot_rows=3)
     names = sorted(whole.columns)
 
     def rows_of(df):
         return sorted((tuple(r) for r in df.select(*names).collect()), key=repr)
 
-    assert rows_of(split) == rows_of(whole)
+    assert rows_of(split) == rows_of(whole) == rows_of(finer)
     assert whole.count() == len(rows)
     # Brute force over the ordered rows.
-    ordered = sorted((m, b) for c, m, b, _ in rows if c == "hot")
+    ordered = sorted((m or "", b) for c, m, b, _ in rows if c == "hot")
     expected = sorted(
-        ((m, b, ordered[i - 1][1] if i else None) for i, (m, b) in enumerate(ordered)), key=repr
+        ((m or None, b, ordered[i - 1][1] if i else None) for i, (m, b) in enumerate(ordered)), key=repr
     )
     got = split.where("customer_id = 'hot'").select("billing_year_month", "bill_amount", "previous_bill_amount").collect()
     assert sorted((tuple(r) for r in got), key=repr) == expected

@@ -41,7 +41,17 @@ def test_reference_objects(spark, tmp_path):
     for flag in (True, False):
         assert sorted(tuple(r) for r in read_reference(spark, path, flag).collect()) == expected
     one_line = write(tmp_path / "o.json", "".join(map(json.dumps, objects)))
-    assert sorted(tuple(r) for r in read_reference(spark, one_line, pretty=False).collect()) == expected
+    assert sorted(tuple(r) for r in read_reference(spark, one_line).collect()) == expected
+    with pytest.raises(Exception, match="(?i)malformed|parse|record"):
+        read_reference(spark, one_line, pretty=True).collect()
+
+
+def test_csv_keeps_quotes_and_line_ends(spark, tmp_path):
+    import csv
+
+    path = save_table(spark.createDataFrame([("a \"b\", c", "x\ny")], "t string, u string").coalesce(1), str(tmp_path / "q.csv"))
+    part = next((tmp_path / "q.csv").glob("part-*.csv"))
+    assert list(csv.reader(part.open(newline=""))) == [["t", "u"], ["a \"b\", c", "x\ny"]] and path.endswith("q.csv")
 
 
 def test_sinks(spark, tmp_path):

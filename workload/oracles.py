@@ -37,7 +37,7 @@ def count(text, terms):
 
 
 def reason(array, prefix):
-    return f"array_to_string(list_transform({array}[1:5], lambda x: '{prefix}:' || x), '; ')"
+    return f"array_to_string(list_transform({array}, lambda x: '{prefix}:' || x), '; ')"
 
 
 def listed(values):
@@ -284,8 +284,8 @@ SYNONYMS = "case {c} " + " ".join(
     f"when '{k}' then [{', '.join(quote(v) for v in (k, *words))}]" for k, words in CATEGORY_SYNONYMS.items()
 ) + " end"
 STAGES["qs"] = f"""
-    select *, {norm('query')} qn from (select *, substr(concat_ws(' ', array_to_string({SYNONYMS.format(c='problem_category')}, ' '),
-      problem_category, problem_subcategory, first_customer_message, customer_text), 1, 2500) query from v_queries)"""
+    select *, {norm('query')} qn from (select *, concat_ws(' ', array_to_string({SYNONYMS.format(c='problem_category')}, ' '),
+      problem_category, problem_subcategory, first_customer_message, customer_text) query from v_queries)"""
 
 
 def grams(source, key, text):
@@ -340,7 +340,7 @@ STAGES["rel"] = f"""
     select query_id, problem_category, problem_subcategory, document_id, score, rnk,
       (exists (select 1 from (select unnest({SYNONYMS.format(c='problem_category')}) t) where contains(hay, t))
        or contains(hay, {norm('problem_subcategory')})) rel
-    from (select q.*, t.document_id, t.score, t.rnk, {norm("k.category || ' ' || k.title || ' ' || substr(k.content, 1, 450)")} hay
+    from (select q.*, t.document_id, t.score, t.rnk, {norm("k.category || ' ' || k.title || ' ' || k.content")} hay
       from top5 t join qs q using (query_id) join kb k using (document_id))"""
 STAGES["rel"] = STAGES["rel"].replace(
     f"exists (select 1 from (select unnest({SYNONYMS.format(c='problem_category')}) t) where contains(hay, t))",
@@ -355,7 +355,7 @@ STAGES["ev"] = """
       sum(case when rel then 1/log2(rnk+1) else 0 end) ndcg_at_5 from rel group by 1,2,3"""
 STAGES["ans"] = """
     select q.*, list(t.document_id order by rnk) ids, max(score) filter (where rnk=1) confidence,
-      list({'id': t.document_id, 'title': k.title, 'snippet': substr(k.content, 1, 450)} order by rnk) docs
+      list({'id': t.document_id, 'title': k.title, 'snippet': k.content} order by rnk) docs
     from qs q join (select * from top5 where rnk <= 3) t using (query_id) join kb k using (document_id) group by all"""
 
 
@@ -507,7 +507,7 @@ QUERIES = {
     ),
     "priority_by_category": crosstab("problem_category", "priority_level", PRIORITIES, False),
     "high_value_at_risk": f"""select complaint_id, customer_id, business_risk_score, round(total_revenue,6) total_revenue
-        from feat where {AT_RISK} order by business_risk_score desc, customer_id, billing_year_month, complaint_id limit 10000""",
+        from feat where {AT_RISK} order by business_risk_score desc, customer_id, billing_year_month, complaint_id""",
     "high_value_at_risk_summary": f"""select count(distinct customer_id) high_value_at_risk_customers,
         round(coalesce(sum(total_revenue),0),6) historical_revenue,
         round(coalesce((select sum(r) from (select customer_id, max(total_revenue) r from feat where {AT_RISK} group by 1)),0),6)
@@ -586,7 +586,7 @@ QUERIES = {
         round(avg(fallback_used::int),6) fallback_rate, round(avg(answer_length),6) avg_answer_length,
         round(avg(source_groundedness_flag::int),6) grounded_response_rate,
         round(avg(low_confidence_routing::int),6) low_confidence_routing_rate from repev""",
-    "reply_failures": """select * from repev where fallback_used or not source_groundedness_flag order by query_id limit 100""",
+    "reply_failures": """select * from repev where fallback_used or not source_groundedness_flag order by query_id""",
 }
 
 
