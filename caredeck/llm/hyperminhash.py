@@ -20,6 +20,8 @@ ESTIMATE_SLACK = 0.18
 #: Buckets of up to this many open members are compared by a join, larger ones in tiles of TILE members.
 SMALL = 32
 TILE = 1024
+#: Up to this many ids (a counted 8 MB) pick their texts by a broadcast; beyond it all texts are shuffled by id.
+BROADCAST_IDS = 1_000_000
 
 SKETCH_SCHEMA = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"
 
@@ -132,7 +134,9 @@ def _likely(pairs, reps):
 def _confirmed(likely, docs):
     """The pairs whose texts reach the threshold; only texts of documents in a pair are joined to them."""
     likely = materialise(likely)
-    wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select(F.col("b").alias("doc_id"))).distinct()
+    wanted = materialise(likely.select(F.col("a").alias("doc_id")).union(likely.select(F.col("b").alias("doc_id"))).distinct())
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     full = materialise(texts(docs).filter("doc_id is not null and text is not null").join(wanted, "doc_id", "left_semi"))
     with_texts = (
         likely.join(full.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
