@@ -130,7 +130,7 @@ def test_query_text(spark):
         "problem_category string, problem_subcategory string, first_customer_message string, customer_text string",
     )
     first, empty = [r["q"] for r in row.select(retrieval.complaint_query(row.columns).alias("q")).collect()]
-    assert first.startswith("data mobil internet mobil veri internet data yavas ilk xxx") and len(first) == 2500
+    assert first.startswith("data mobil internet mobil veri internet data yavas ilk xxx") and len(first) == 3055
     assert empty.strip() == ""
 
 
