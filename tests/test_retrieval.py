@@ -124,6 +124,25 @@ def test_top_k_equals_brute_force(spark, monkeypatch, method, limit):
     assert [g[2] for g in got] == pytest.approx([e[2] for e in expected], abs=1e-9)
 
 
+@pytest.mark.parametrize("method", [knowledge.TFIDF, knowledge.BM25, retrieval.HYBRID])
+def test_null_and_repeated_keys_by_size(spark, monkeypatch, method):
+    """Rows with a null or a shared key are queries of their own, whether the index is broadcast or cut."""
+    monkeypatch.setattr(retrieval, "BATCH_QUERIES", 2)
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(25)]
+    index = bare_index(spark, [(f"d{i:02d}", " ".join(rng.choices(words, k=12))) for i in range(30)])
+    asked = [(key, " ".join(rng.choices(words, k=5))) for key in (1, 1, 1, 2, None, None, None)]
+    frame = spark.createDataFrame(asked, "query_id long, query string")
+
+    def found(limit):
+        rows = retrieval.retrieve(index, frame, 2, method, packed_limit=limit).collect()
+        return sorted(((r["query_id"] or 0, r["rank"], r["document_id"], round(r["score"], 9)) for r in rows))
+
+    whole, cut = found(retrieval.PACKED_LIMIT), found(150)
+    assert len(whole) == 2 * len(asked)
+    assert cut == whole
+
+
 def test_query_text(spark):
     row = spark.createDataFrame(
         [("data", "yavas", "ilk", "x" * 3000), (None, None, None, None)],
