@@ -20,10 +20,10 @@ ESTIMATE_SLACK = 0.18
 #: Buckets of up to this many open members are compared by a join, larger ones in tiles of TILE members.
 SMALL = 32
 TILE = 1024
-#: Up to this many ids (a counted 8 MB) pick their texts by a broadcast; beyond it all texts are shuffled by id.
+#: Up to this many keys (a counted 32 MB: id, two hashes, class) pick their rows by a broadcast; beyond it all rows are shuffled.
 BROADCAST_IDS = 1_000_000
 
-SKETCH_SCHEMA = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"
+SKETCH_SCHEMA = "doc_id long, t1 long, t2 long, n_shingles long, f1 long, f2 long, bands array<long>"
 
 
 def _words(text):
@@ -86,16 +86,21 @@ def _sketch_batches(batches):
         flat = np.concatenate(bands) if bands else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(prints[:, 0]), pa.array(prints[:, 1]),
+                *(batch.column(c) for c in ("doc_id", "t1", "t2")), pa.array(counts, pa.int64()), pa.array(prints[:, 0]), pa.array(prints[:, 1]),
                 pa.ListArray.from_arrays(offsets, pa.array(flat)),
             ],
-            names=["doc_id", "n_shingles", "f1", "f2", "bands"],
+            names=["doc_id", "t1", "t2", "n_shingles", "f1", "f2", "bands"],
         )
 
 
+def _text_keys(text):
+    """Two 64-bit hashes that tell texts of one doc_id apart; null counts as a text of its own."""
+    return F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")
+
+
 def sketches(docs):
     """Per row of `docs`: number of distinct shingles, fingerprint of the word sequence, registers as 64-bit bands."""
-    return texts(docs).mapInArrow(_sketch_batches, SKETCH_SCHEMA)
+    return texts(docs).select("*", *_text_keys(F.col("text"))).mapInArrow(_sketch_batches, SKETCH_SCHEMA)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -123,7 +128,7 @@ def _confirm_batches(batches):
 
 def _likely(pairs, reps):
     """The pairs (a, b) whose registers make the threshold possible."""
-    side = lambda x: reps.select(F.col("doc_id").alias(x), F.col("bands").alias(f"s_{x}"), F.col("n_shingles").alias(f"n_{x}"))
+    side = lambda x: reps.select(F.col("node").alias(x), F.col("bands").alias(f"s_{x}"), F.col("n_shingles").alias(f"n_{x}"))
     return (
         pairs.join(side("a"), "a").join(side("b"), "b")
         .filter(_estimated("s_a", "s_b", "n_a", "n_b") >= PERCENT / 100 - ESTIMATE_SLACK)
@@ -131,16 +136,23 @@ def _likely(pairs, reps):
     )
 
 
-def _confirmed(likely, docs):
-    """The pairs whose texts reach the threshold; only texts of documents in a pair are joined to them."""
+def _few(keys):
+    """Counted keys, to be broadcast if there are few."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
+
+
+def _confirmed(likely, classes, docs):
+    """The pairs whose texts reach the threshold; only texts that stand for a class in a pair are joined to them."""
     likely = materialise(likely)
-    wanted = materialise(likely.select(F.col("a").alias("doc_id")).union(likely.select(F.col("b").alias("doc_id"))).distinct())
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    full = materialise(texts(docs).filter("doc_id is not null and text is not null").join(wanted, "doc_id", "left_semi"))
+    nodes = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
+    wanted = materialise(nodes.join(classes.select("node", "doc_id", "t1", "t2", "copies"), "node"))
+    keyed = texts(docs).filter("doc_id is not null and text is not null").select("*", *_text_keys(F.col("text")))
+    full = materialise(keyed.join(_few(wanted), ["doc_id", "t1", "t2"]).select("node", "copies", "text"))
+    # A row that occurs again would give its text again.
+    full = full.filter("copies = 1").union(full.filter("copies > 1").dropDuplicates(["node"]))
     with_texts = (
-        likely.join(full.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(full.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+        likely.join(full.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(full.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     )
     return materialise(with_texts.mapInArrow(_confirm_batches, "a long, b long"))
 
@@ -155,7 +167,7 @@ def _tile(group):
     bands = np.ascontiguousarray(np.stack(group["bands"].to_numpy()), np.int64)
     sketch = bands.view(np.uint16)
     used = (sketch > 0).astype(np.float32)
-    ids, size, component = (group[c].to_numpy(np.int64) for c in ("doc_id", "n_shingles", "component"))
+    ids, size, component = (group[c].to_numpy(np.int64) for c in ("node", "n_shingles", "component"))
     band, i, j = (int(group[c].iloc[0]) for c in ("band", "i", "j"))
     first, second = (np.flatnonzero(group["tile"].to_numpy() == t) for t in (i, j))
     out = []
@@ -184,25 +196,25 @@ def _tile(group):
 
 def _across(members, found, reps):
     """Likely pairs of different components in the buckets that hold several, beyond those with the hub."""
-    parts = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id")
+    parts = members.join(found, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
     )
     split = (
         parts.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
         .filter("lo < hi").select("band", "key", "n")
     )
-    open_rows = materialise(parts.join(split, ["band", "key"]).filter("doc_id <> hub").select("band", "key", "doc_id", "component", "n"))
+    open_rows = materialise(parts.join(split, ["band", "key"]).filter("node <> hub").select("band", "key", "node", "component", "n"))
     small = open_rows.filter(F.col("n") <= SMALL)
-    left = small.select("band", "key", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-    right = small.select("band", "key", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
+    left = small.select("band", "key", F.col("node").alias("a"), F.col("component").alias("ca"))
+    right = small.select("band", "key", F.col("node").alias("b"), F.col("component").alias("cb"))
     pairs = left.join(right, ["band", "key"]).filter("a < b and ca <> cb").select("a", "b").distinct()
     large = (
-        open_rows.filter(F.col("n") > SMALL).join(reps, "doc_id")
+        open_rows.filter(F.col("n") > SMALL).join(reps, "node")
         .withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
-        .withColumn("tile", F.expr("cast(pmod(xxhash64(doc_id, 'tile'), tiles) as int)"))
+        .withColumn("tile", F.expr("cast(pmod(xxhash64(node, 'tile'), tiles) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
         .select(
-            "band", "key", "doc_id", "component", "n_shingles", "bands", "tile",
+            "band", "key", "node", "component", "n_shingles", "bands", "tile",
             F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
         )
     )
@@ -210,6 +222,47 @@ def _across(members, found, reps):
     return _likely(pairs, reps).union(tiled).distinct()
 
 
+def _judged(docs):
+    """Row per document: doc_id, t1, t2, n_shingles, f1, f2, component_id, kept; see `near_duplicates`."""
+    ship_package(docs.sparkSession)
+    rows = materialise(sketches(docs))
+    live = rows.filter("n_shingles > 0 and doc_id is not null")
+    # Rows of one class have one word sequence, hence the same shingles and registers.
+    grouped = materialise(
+        live.groupBy("f1", "f2").agg(
+            F.min(F.struct("doc_id", "t1", "t2")).alias("first"), F.count(F.lit(1)).alias("copies"),
+            F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+        ).select("f1", "f2", "first.*", "copies", "n_shingles", "bands")
+    )
+    # doc_id may name several classes, so they get numbers of their own, in the order of doc_id.
+    order = ["doc_id", "f1", "f2"]
+    classes = materialise(grouped.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("node", F.monotonically_increasing_id()))
+    reps = classes.select("node", "n_shingles", "bands")
+
+    bands = reps.select("node", F.posexplode("bands").alias("band", "key")).filter("key <> 0")
+    shared = bands.groupBy("band", "key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
+    members = materialise(bands.join(shared.drop("last"), ["band", "key"]))
+    stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    links = _confirmed(_likely(stars, reps), classes, docs)
+    found = materialise(components(links))
+    more = _confirmed(_across(members, found, reps), classes, docs)
+    final = found
+    if not more.isEmpty():
+        final = materialise(components(links.union(more)))
+
+    # The smallest number of a component is the class of its smallest doc_id.
+    named = final.join(classes.select(F.col("node").alias("component"), F.col("doc_id").alias("named")), "component")
+    whole = classes.select("node", "f1", "f2", "doc_id").join(named, "node", "left").select(
+        "f1", "f2", F.coalesce("named", "doc_id").alias("component_id"), F.expr("component is null or component = node").alias("leads"),
+    )
+    flagged = rows.drop("bands").withColumn("live", F.expr("n_shingles > 0 and doc_id is not null"))
+    joined = flagged.filter("live").join(whole, ["f1", "f2"], "left").unionByName(
+        flagged.filter("not live").withColumn("component_id", F.col("doc_id")).withColumn("leads", F.lit(True))
+    )
+    kept = F.col("leads") & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return joined.select("doc_id", "t1", "t2", "n_shingles", "f1", "f2", "component_id", kept.alias("kept"))
+
+
 def near_duplicates(docs):
     """Row per document: doc_id, n_shingles, component_id, kept; links are Jaccard >= 0.75 on word 5-shingles.
 
@@ -223,43 +276,25 @@ def near_duplicates(docs):
 
     Null text, empty text and text without words: an empty set, linked with nothing. Null doc_id: linked with
     nothing, component_id null, kept. A repeated row gets the result of its twin; rows that share an id but not a
-    text are judged by their own text. Empty input gives an empty result; other columns are ignored.
+    text are judged by their own text, and if such rows are near-duplicates of each other and share the smallest
+    doc_id, those of one word sequence are kept. Empty input gives an empty result; other columns are ignored.
     """
-    ship_package(docs.sparkSession)
-    rows = materialise(sketches(docs))
-    live = rows.filter("n_shingles > 0 and doc_id is not null")
-    classes = live.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
-    reps = materialise(live.join(classes, ["f1", "f2"]).filter("doc_id = rep").select("doc_id", "n_shingles", "bands"))
-
-    bands = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).filter("key <> 0")
-    shared = bands.groupBy("band", "key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).filter("hub < last")
-    members = materialise(bands.join(shared.drop("last"), ["band", "key"]))
-    stars = members.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = _confirmed(_likely(stars, reps), docs)
-    found = materialise(components(links))
-    more = _confirmed(_across(members, found, reps), docs)
-    final = found
-    if not more.isEmpty():
-        final = materialise(components(links.union(more)))
-
-    whole = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "f1", "f2", F.coalesce("component", "rep").alias("component")
-    )
-    flagged = rows.select("doc_id", "n_shingles", "f1", "f2").withColumn("live", F.expr("n_shingles > 0 and doc_id is not null"))
-    joined = flagged.filter("live").join(whole, ["f1", "f2"], "left").unionByName(
-        flagged.filter("not live").withColumn("component", F.col("doc_id"))
-    )
-    return joined.select(
-        "doc_id", "n_shingles", F.col("component").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("component")).alias("kept")
-    )
+    return _judged(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def keep_one_of_each(docs):
-    """`docs` without near-duplicates: of each component the smallest doc_id stays, in one row."""
-    verdict = materialise(near_duplicates(docs))
-    gone = verdict.filter("not kept").select("doc_id").distinct()
-    repeated = verdict.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
-    kept = whole.join(gone, "doc_id", "left_anti")
-    once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row"))
-    return kept.join(repeated, "doc_id", "left_anti").select("row").union(once.select("row")).select("row.*")
+    """`docs` without near-duplicates: the rows that are kept, those of one doc_id and word sequence in one row.
+
+    Each row is judged by its own text, so rows that share a doc_id but not a word sequence all stay unless they
+    are near-duplicates. Rows with a null doc_id all stay.
+    """
+    key = ["doc_id", "t1", "t2"]
+    verdict = materialise(_judged(docs))
+    known = verdict.filter("kept and doc_id is not null")
+    repeated = known.groupBy("doc_id", "f1", "f2").count().filter("count > 1").drop("count")
+    again = materialise(known.join(repeated, ["doc_id", "f1", "f2"]).select(*key, "f1", "f2").distinct())
+    gone = materialise(verdict.filter("not kept").select(*key).distinct())
+    whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *_text_keys(F.col("text").cast("binary")))
+    single = whole.join(_few(materialise(gone.union(again.select(*key)))), key, "left_anti")
+    once = whole.join(_few(again), key).groupBy("doc_id", "f1", "f2").agg(F.min("row").alias("row"))
+    return single.select("row").union(once.select("row")).select("row.*")

@@ -87,6 +87,24 @@ def test_one_of_each_stays(docs):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(root.values()))
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    """Half of the rows are of id 0: one near-duplicate of a smaller id, copies, two near copies, the rest unlike anything."""
+    rows = [(-5, BASE), (0, NEAR), (3, words(7, 40)), (0, words(8, 40)), (9, words(8, 40)), (0, words(8, 40)), (0, words(8, 40).upper())]
+    rows += [(0, words(300 + i, 40)) for i in range(10)] + [(0, words(400, 200)), (0, words(400, 200).replace("v400x3 ", "y "))]
+    rows += [(0, ""), (0, None), (None, BASE), (None, BASE)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    judged = hyperminhash.near_duplicates(frame).collect()
+    assert len(judged) == len(rows)
+    assert sorted((r.component_id, r.kept) for r in judged if r.doc_id in (-5, 3, 9)) == [(-5, True), (0, False), (3, True)]
+    assert sorted((r.component_id, r.kept) for r in judged if r.doc_id == 0) == [(-5, False)] + [(0, False)] + [(0, True)] * 16
+    got = [(r.doc_id, (r.text or "").lower()) for r in hyperminhash.keep_one_of_each(frame).collect()]
+    near = [t for i, t in got if t.endswith("v400x199")]
+    assert len(near) == 1
+    want = [(-5, BASE.lower()), (3, words(7, 40)), (0, words(8, 40)), (0, near[0]), (0, ""), (None, BASE.lower()), (None, BASE.lower())]
+    want += [(0, words(300 + i, 40)) for i in range(10)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_registers_estimate_similarity():
     cache, rolling = hyperminhash.WordHashes(), hyperminhash.RollingHash()
     a, b = (hyperminhash.shingle_hashes(t.encode().split(), cache, rolling) for t in (BASE, NEAR))
