@@ -1,19 +1,19 @@
-"""Mixing sources to target weights: min-cost flow over membership patterns, then seeded selection."""
-
-import heapq
+"""Mixing sources to target weights: flow over membership patterns, then seeded selection."""
 
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from caredeck.operators.ranking import with_position
+
+from .common import materialise, ship_package
+from .components import components
 
 SHARE = 1.5
 MOST = 2
 WEIGHTS = (3, 1, 2)
 SEED = 20_240_501
 BUCKETS = 4096
-#: The source table and the pattern table meet on the driver; beyond this many rows the job stops.
-MOST_PATTERNS = 200_000
 
 
 def targets(sizes, weights, share=SHARE, most=MOST):
@@ -37,68 +37,80 @@ def targets(sizes, weights, share=SHARE, most=MOST):
 
 
 class Flow:
-    """Min-cost flow by successive cheapest paths with potentials; whole capacities and costs."""
+    """Largest flow by blocking flows over levels; whole capacities."""
 
     def __init__(self, nodes):
         self.edges, self.out = [], [[] for _ in range(nodes)]
 
-    def add(self, a, b, capacity, cost):
+    def add(self, a, b, capacity):
         self.out[a].append(len(self.edges))
-        self.edges.append([b, capacity, cost])
+        self.edges.append([b, capacity])
         self.out[b].append(len(self.edges))
-        self.edges.append([a, 0, -cost])
+        self.edges.append([a, 0])
         return len(self.edges) - 2
 
-    def run(self, source, sink):
-        n = len(self.out)
-        potential = [0] * n
-        while True:
-            dist, via, heap = [None] * n, [None] * n, [(0, source)]
-            dist[source] = 0
-            while heap:
-                d, a = heapq.heappop(heap)
-                if d > dist[a]:
-                    continue
+    def _levels(self, source):
+        level, now = [None] * len(self.out), [source]
+        level[source] = 0
+        while now:
+            after = []
+            for a in now:
                 for e in self.out[a]:
-                    b, capacity, cost = self.edges[e]
-                    if capacity > 0:
-                        step = d + cost + potential[a] - potential[b]
-                        if dist[b] is None or step < dist[b]:
-                            dist[b], via[b] = step, e
-                            heapq.heappush(heap, (step, b))
-            if dist[sink] is None:
-                return
-            potential = [p + d if d is not None else p for p, d in zip(potential, dist, strict=True)]
-            amount, b = None, sink
-            while b != source:
-                e = via[b]
-                amount = self.edges[e][1] if amount is None else min(amount, self.edges[e][1])
-                b = self.edges[e ^ 1][0]
-            b = sink
-            while b != source:
-                e = via[b]
-                self.edges[e][1] -= amount
-                self.edges[e ^ 1][1] += amount
-                b = self.edges[e ^ 1][0]
+                    b, capacity = self.edges[e]
+                    if capacity > 0 and level[b] is None:
+                        level[b] = level[a] + 1
+                        after.append(b)
+            now = after
+        return level
+
+    def run(self, source, sink):
+        """Add to the flow until it is the largest; flow on edges out of `source` never goes back."""
+        while (level := self._levels(source))[sink] is not None:
+            at, path, a = [0] * len(self.out), [], source
+            while True:
+                if a == sink:
+                    amount = min(self.edges[e][1] for e in path)
+                    for e in path:
+                        self.edges[e][1] -= amount
+                        self.edges[e ^ 1][1] += amount
+                    full = next(k for k, e in enumerate(path) if not self.edges[e][1])
+                    a = self.edges[path[full] ^ 1][0]
+                    del path[full:]
+                elif at[a] < len(self.out[a]):
+                    e = self.out[a][at[a]]
+                    b, capacity = self.edges[e]
+                    if capacity > 0 and level[b] == level[a] + 1:
+                        path.append(e)
+                        a = b
+                    else:
+                        at[a] += 1
+                elif path:
+                    a = self.edges[path.pop() ^ 1][0]
+                    at[a] += 1
+                else:
+                    break
 
 
 def route(patterns, quotas, most=MOST):
     """Words to take of each membership pattern: {pattern: words} for {pattern (tuple of sources): size}.
 
-    Patterns offer their size once per repetition, the r-th at cost r (convex), to the sources they belong to;
-    sources take up to their quota. The flow is the largest possible and, of those, the one that repeats least.
+    Patterns offer their size once per repetition to the sources they belong to; sources take up to their quota.
+    The r-th repetition is offered when the flow of those before it is the largest possible, and what is taken
+    then stays taken: the flow is the largest and, of those, the one that repeats least.
     """
-    sources = sorted(quotas, key=lambda s: (s is None, s))
+    sources = sorted(quotas, key=lambda s: (s is None, "" if s is None else s))
     number = {s: 1 + len(patterns) + i for i, s in enumerate(sources)}
     sink = 1 + len(patterns) + len(sources)
-    flow, tiers = Flow(sink + 1), {}
+    flow, tiers = Flow(sink + 1), {p: [] for p in patterns}
     for i, (pattern, size) in enumerate(patterns.items(), 1):
-        tiers[pattern] = [flow.add(0, i, size, r) for r in range(most)]
         for s in pattern:
-            flow.add(i, number[s], most * size, 0)
+            flow.add(i, number[s], most * size)
     for s in sources:
-        flow.add(number[s], sink, round(quotas[s]), 0)
-    flow.run(0, sink)
+        flow.add(number[s], sink, round(quotas[s]))
+    for _ in range(most):
+        for i, (pattern, size) in enumerate(patterns.items(), 1):
+            tiers[pattern].append(flow.add(0, i, size))
+        flow.run(0, sink)
     return {p: sum(flow.edges[e ^ 1][1] for e in es) for p, es in tiers.items()}
 
 
@@ -107,34 +119,80 @@ def word_count(text):
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def _bounded(rows, what):
-    got = rows.limit(MOST_PATTERNS + 1).collect()
-    if len(got) > MOST_PATTERNS:
-        raise ValueError(f"more than {MOST_PATTERNS} {what}; group them first")
-    return got
+def _targets(sizes, total, weights):
+    """`targets` for a source table of any size: source_name, source_size, position, target.
+
+    Sources at their bound are those whose bound is no more than weight * level, where level = what the others
+    share / their weights. The level only rises, so each round is one sum over the sources, until no source newly
+    is at its bound.
+    """
+    listed = F.array(*[F.lit(float(w)) for w in weights])
+    placed = with_position(sizes, [F.col("source_name").asc_nulls_last()])
+    table = materialise(placed.withColumn("weight", F.element_at(listed, (F.col("position") % len(weights) + 1).cast("int"))))
+    bound = F.col("source_size") * MOST
+    n, words, share, level = 0, 0, None, F.lit(0.0)
+    budget, at_bound = 0.0, F.lit(False)
+    while True:
+        sums = table.agg(
+            F.count(F.when(at_bound, 1)).alias("n"), F.sum("source_size").alias("words"),
+            F.coalesce(F.sum(F.when(at_bound, bound)), F.lit(0)).alias("given"), F.sum(F.when(~at_bound, F.col("weight"))).alias("weight"),
+        ).first()
+        if share is None:
+            words = sums.words or 0
+            share = SHARE * total / max(1, words)
+            budget = share * words
+        elif sums.n == n:
+            break
+        n = sums.n
+        if sums.weight is None:
+            at_bound = F.lit(True)
+            break
+        left = budget - sums.given
+        level = F.lit(left) * F.col("weight") / F.lit(sums.weight)
+        at_bound = level >= bound
+    return materialise(table.withColumn("target", F.when(at_bound, bound.cast("double")).otherwise(level)))
+
 
+def _route_group(group):
+    """The flow of one group of connected sources: a row per pattern, and one without size per source's quota."""
+    rows = group[group["size"].notna()].sort_values("pattern")
+    # Sources by position: null is a source like any other.
+    patterns = {tuple(p): int(n) for p, n in zip(rows["places"], rows["size"], strict=True)}
+    quotas = {int(p[0]): q for p, q in zip(group["places"], group["quota"], strict=True) if q == q and q is not None}
+    taken = route(patterns, quotas)
+    return pd.DataFrame({"pattern": rows["pattern"].to_numpy(), "pattern_take": [taken[p] for p in patterns]})
 
-def code_points(value):
-    return [ord(c) for c in value]
 
+def _plan(patterns, weights):
+    """Pattern table (pattern, members, size) -> per pattern: size and words to take, and per source: size and target.
 
-def _plan(spark, by_pattern, weights):
-    """Bounded pattern table -> per pattern: words to take, and per source: size and target."""
-    patterns = {tuple(r.members): r.size for r in by_pattern}
-    sizes = {}
-    for pattern, size in patterns.items():
-        for s in pattern:
-            sizes[s] = sizes.get(s, 0) + size
-    order = sorted(sizes, key=lambda s: (s is None, [] if s is None else code_points(s)))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    total = sum(patterns.values())
-    quota = targets(sizes, weight, SHARE * total / max(1, sum(sizes.values())))
-    taken = route(patterns, quota)
-    plan = spark.createDataFrame(
-        [(list(p), int(n), int(taken[p])) for p, n in patterns.items()], "members array<string>, pattern_size long, pattern_take long"
+    A source that is in no pattern with another one takes its quota or all it has MOST times, by a join. Connected
+    sources are routed together with all their patterns, each group in a task.
+    """
+    parts = materialise(patterns.select("pattern", "size", F.explode("members").alias("source_name")))
+    sizes = parts.groupBy("source_name").agg(F.sum("size").alias("source_size"))
+    total = patterns.agg(F.sum("size")).first()[0] or 0
+    table = _targets(sizes, total, weights)
+    placed = materialise(
+        parts.withColumnRenamed("source_name", "s").join(table.select("source_name", "position", F.rint("target").cast("long").alias("quota")), F.expr("s <=> source_name"))
+        .select("pattern", "size", "position", "quota")
+    )
+    shared = placed.groupBy("pattern").agg(F.min("position").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("pattern", "a")
+    groups = materialise(components(placed.join(shared, "pattern").select("a", F.col("position").alias("b"))))
+    lone = placed.join(groups, F.col("position") == F.col("node"), "left_anti").select(
+        "pattern", F.col("size").alias("pattern_size"), F.least(F.col("size") * MOST, "quota").alias("pattern_take")
+    )
+    grouped = materialise(placed.join(groups, F.col("position") == F.col("node")).drop("node"))
+    offers = grouped.groupBy("component", "pattern").agg(
+        F.array_sort(F.collect_list("position")).alias("places"), F.first("size").cast("double").alias("size"), F.lit(None).cast("double").alias("quota")
     )
-    table = spark.createDataFrame([(s, int(sizes[s]), float(quota[s])) for s in order], "source_name string, source_size long, target double")
-    return plan, table
+    wanted = grouped.groupBy("component", "position").agg(F.first("quota").cast("double").alias("quota")).select(
+        "component", F.lit(None).cast("string").alias("pattern"), F.array("position").alias("places"), F.lit(None).cast("double").alias("size"), "quota"
+    )
+    ship_package(patterns.sparkSession)
+    routed = offers.union(wanted).groupBy("component").applyInPandas(_route_group, "pattern string, pattern_take long")
+    together = routed.join(patterns.select("pattern", F.col("size").alias("pattern_size")), "pattern").select("pattern", "pattern_size", "pattern_take")
+    return materialise(lone.union(together)), table.select("source_name", "source_size", "target")
 
 
 def _drawn(rows, seed):
@@ -149,19 +207,19 @@ def repetitions(rows, sized, weights=WEIGHTS, seed=SEED):
     """`rows` (doc_id, size, members, anything else) with source_size, target and times (0, 1 or 2).
 
     `sized` is the same rows' written doc_id, size and members. Documents are aggregated by membership pattern
-    (the sorted array of sources); `route` says how many words each pattern gives. All its documents are taken as
+    (the sorted array of sources); `_plan` says how many words each pattern gives, for any number of patterns and sources. All its documents are taken as
     often as goes into that; for the rest they come in the order of a seeded hash, up to the one whose middle
     passes the amount. To find that place without ordering a source in one task, the words per bucket of the hash
     range are summed first, and only the bucket that holds the place is ordered.
     """
     drawn = _drawn(sized, seed)
     sums = materialise(drawn.groupBy("pattern", "members", "bucket").agg(F.sum("size").alias("words")))
-    patterns = _bounded(sums.groupBy("members").agg(F.sum("words").alias("size")), "membership patterns")
-    plan, table = _plan(sized.sparkSession, patterns, weights)
+    patterns = materialise(sums.groupBy("pattern", "members").agg(F.sum("words").alias("size")))
+    plan, table = _plan(patterns, weights)
     before = F.sum("words").over(Window.partitionBy("pattern").orderBy("bucket")) - F.col("words")
     cuts = (
         sums.withColumn("before", before)
-        .join(F.broadcast(plan.withColumn("pattern", F.to_json("members")).drop("members")), "pattern")
+        .join(plan, "pattern")
         .withColumn("base", F.expr("if(pattern_size > 0, pattern_take div pattern_size, 0)"))
         .withColumn("rest", F.expr("pattern_take - base * pattern_size"))
         .groupBy("pattern").agg(
@@ -170,11 +228,10 @@ def repetitions(rows, sized, weights=WEIGHTS, seed=SEED):
         )
         .select("pattern", "base", "rest", F.col("cut.bucket").alias("cut"), F.col("cut.before").alias("before"))
     )
-    # One row per pattern and per source: bounded by MOST_PATTERNS, which _bounded has checked.
-    placed = (
-        _drawn(rows, seed).join(F.broadcast(cuts), "pattern")
-        .join(F.broadcast(table), F.expr("members[0] <=> source_name")).drop("source_name")
-    )
+    # One row per pattern, with what its documents show of their first source: broadcast only while it is small.
+    first = patterns.select("pattern", F.expr("members[0]").alias("s")).join(table, F.expr("s <=> source_name"))
+    facts = materialise(cuts.join(first.select("pattern", "source_size", "target"), "pattern"))
+    placed = _drawn(rows, seed).join(facts, "pattern")
     order = Window.partitionBy("pattern").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     at_cut = placed.filter("bucket = cut").withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
     picked = at_cut.withColumn("extra", F.expr("if(2 * ahead + size <= 2 * rest, 1, 0)")).drop("ahead")

@@ -157,6 +157,42 @@ def test_mixing(docs):
     assert source_mix.mixed_documents(docs).columns == docs.columns
 
 
+def test_mixing_of_many_sources(spark):
+    """More sources than any driver table holds: every one gets its share, as the same sum on the driver says."""
+    n = 210_000
+    frame = spark.range(n).selectExpr("id as doc_id", "concat('d', id, '.org') as source", "if(id % 2 = 0, 'a b c', 'a') as text")
+    got = source_mix.mix(frame)
+    assert got.count() == n
+    sizes = {f"d{i}.org": 3 if i % 2 == 0 else 1 for i in range(n)}
+    weight = {s: source_mix.WEIGHTS[k % 3] for k, s in enumerate(sorted(sizes))}
+    quota = source_mix.targets(sizes, weight)
+    want = {s: int(2 * round(quota[s]) >= z) + int(2 * round(quota[s]) >= 3 * z) for s, z in sizes.items()}
+    for r in got.collect():
+        s = f"d{r.doc_id}.org"
+        assert abs(r.target - quota[s]) < 1e-6 and r.source_size == r.size == sizes[s]
+        assert r.taken == r.size * want[s]
+
+
+def test_mixing_of_overlapping_sources(spark):
+    """Two groups of connected sources and a lone one, against the flow over all of them at once."""
+    kinds = [["a"], ["b", "a"], ["b"], ["x", "y"], [None, "y"], ["y"], ["q"], ["z", "x"]]
+    rows = [(i, "w " * (1 + i % 3), kinds[i % 8]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, listed array<string>")
+    got = {r.doc_id: r for r in source_mix.mix(frame, members="listed").collect()}
+    patterns, sizes, taken = {}, {}, {}
+    for i, text, listed in rows:
+        p = tuple(sorted(listed, key=lambda s: (s is None, s or "")))
+        patterns[p] = patterns.get(p, 0) + got[i].size
+        taken[p] = taken.get(p, 0) + got[i].taken
+        for s in p:
+            sizes[s] = sizes.get(s, 0) + got[i].size
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    quota = source_mix.targets(sizes, {s: source_mix.WEIGHTS[k % 3] for k, s in enumerate(order)}, source_mix.SHARE * sum(patterns.values()) / sum(sizes.values()))
+    flow = source_mix.route(patterns, quota)
+    assert len(got) == 400 and abs(sum(taken.values()) - sum(flow.values())) <= 2 * len(patterns)
+    assert all(abs(got[i].target - quota[min(k, key=lambda s: (s is None, s or ""))]) < 1e-9 for i, _, k in rows)
+
+
 def test_targets_and_flow():
     assert source_mix.targets({"a": 100, "b": 100}, {"a": 3, "b": 1}) == {"a": 200.0, "b": 100.0}
     assert source_mix.targets({}, {}) == {}
