@@ -18,7 +18,6 @@ IDENTIFIER = r"^(?=[^0-9]*[0-9][^0-9]*[0-9])[A-Za-z0-9._@+/-]{8,}$"
 FOUND = "id"
 
 CONTEXT = 64
-ROUNDS = 3
 LEAST_SUPPORT = 3.0
 CONFIDENT = 0.8
 
@@ -115,17 +114,18 @@ def _edges(found):
     )
 
 
-def discovered(found, rounds=ROUNDS):
+def discovered(found):
     """Identifiers that trusted contexts single out: instance, score.
 
     Patterns and instances form a bipartite graph. Each round a pattern's confidence is the mean score of its
     instances (one more counted as wrong), if they add up to LEAST_SUPPORT; an unseen instance scores as likely
     as that any of its patterns of CONFIDENT or more is right. Seeds keep score 1. Each round is one grouping by
-    pattern and one by instance, both pre-aggregated, and is written.
+    pattern and one by instance, both pre-aggregated, and is written. Scores only rise from round to round; the
+    rounds end when no instance newly has a score and none rose in its first six decimals.
     """
     edges = materialise(_edges(found))
-    scores = None
-    for _ in range(rounds):
+    scores, mark = None, (0, 0)
+    while True:
         known = edges.withColumn("score", F.col("seed"))
         if scores is not None:
             known = edges.join(scores, "instance", "left").withColumn("score", F.greatest("seed", F.coalesce("score", F.lit(0.0))))
@@ -138,7 +138,10 @@ def discovered(found, rounds=ROUNDS):
             edges.filter("seed = 0").join(trust, "pattern").groupBy("instance")
             .agg((1 - F.exp(F.sum(F.log(1.000001 - F.col("trust"))))).alias("score"))
         )
-    return scores.filter(F.col("score") >= CONFIDENT)
+        after = tuple(scores.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.floor(F.col("score") * 1e6)), F.lit(0))).first())
+        if after <= mark:
+            return scores.filter(F.col("score") >= CONFIDENT)
+        mark = after
 
 
 def _sorted_spans(spans):

@@ -265,6 +265,18 @@ def test_contexts_single_out_unseen_identifiers(spark):
     assert found[50] == "id:17:30" and found[51] == ""
 
 
+def test_contexts_gain_trust_in_as_many_rounds_as_it_takes(spark):
+    """Each context's identifiers make the next context trusted; the last one is reached in the fourth round."""
+    steps, counts = ["alpha", "beta", "gamma", "delta", "omega"], [2160, 360, 60, 10, 1]
+    texts = [f"say alpha user{i}@example.org now" for i in range(counts[0])]
+    for k in range(1, 5):
+        for i in range(counts[k]):
+            texts += [f"say {steps[k - 1]} K{k}X77{i:05d} now", f"say {steps[k]} K{k}X77{i:05d} now"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii_bootstrap.report(frame).collect()}
+    assert [i for i in range(counts[0], len(texts)) if not found[i].startswith("id:")] == []
+
+
 def test_base_patterns_against_plain_regexes(spark):
     plain = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
