@@ -104,10 +104,118 @@ select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint
 from w left join kept on kept.doc_id = w.doc_id
 """
 
+_KEY = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_PLACES = "".join(
+    f"""
+  {'union all' if kind else ''} select doc_id, owner, source, {kind} as kind, unnest(regexp_extract_all(text, '{pattern}', {group})) as v,
+    unnest(regexp_extract_all(text, '{pattern}')) as m, unnest(string_split_regex(text, '{pattern}')) as piece,
+    unnest(range(len(string_split_regex(text, '{pattern}')))) as i from d"""
+    for kind, pattern, group in ((0, _KEY, 2), (1, "AKIA[A-Z0-9]+", 0), (2, "[0-9a-f]+", 0), (3, "[A-Za-z0-9+/_=-]{20,}", 0))
+)
+
+OP11 = f"""
+with d as (select doc_id, coalesce(text, '') as text, source, split_part(source, '/', 1) as owner from documents),
+found as ({_PLACES}
+),
+placed as (
+  select *, (sum(length(piece)) over w + sum(length(coalesce(m, ''))) over w - length(coalesce(m, '')))::bigint as s,
+    len(list_distinct(string_split(v, ''))) as variety
+  from found window w as (partition by doc_id, kind order by i)
+),
+fit as (
+  select *, s + length(m) as e, variety >= 8 and regexp_matches(v, '[0-9]') and regexp_matches(v, '[A-Za-z]') as live
+  from placed where m is not null and case kind when 0 then length(v) >= 6 when 1 then length(m) >= 20 when 2 then length(m) >= 24
+    else variety >= 12 and regexp_matches(v, '[0-9]') and regexp_matches(v, '[a-z]') and regexp_matches(v, '[A-Z]') end
+),
+spans as (
+  select * from fit f where kind < 3
+    or not exists (select 1 from fit b where b.kind < 3 and b.doc_id = f.doc_id and b.s < f.e and b.e > f.s)
+),
+holders as (select v, count(*) as n_owners from (select distinct v, owner from spans) group by v),
+judged as (
+  select spans.*, n_owners,
+    case when n_owners >= 3 then 'example' when n_owners = 1 and live then 'live' else 'unclear' end as verdict
+  from spans join holders using (v) where kind < 3 or n_owners = 1
+),
+texts as (select *, (['assign', 'access', 'hex', 'token'])[kind + 1] || ':' || s || ':' || e as t from judged)
+select d.doc_id, count(*) filter (where kind = 0) as n_assign, count(*) filter (where kind = 1) as n_access,
+  count(*) filter (where kind = 2) as n_hex, count(*) filter (where kind = 3) as n_token,
+  sha256(coalesce(string_agg(t, ',' order by s, kind) filter (where kind < 3), '')) as base_sha256,
+  coalesce(string_agg(t, ',' order by s, kind), '') as spans,
+  count(*) filter (where verdict = 'live') as n_live, count(*) filter (where verdict = 'example') as n_example
+from d left join texts on texts.doc_id = d.doc_id group by d.doc_id
+"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12 = f"""
+with w as (select doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) as t from documents),
+sizes as (select doc_id, count(*) as n from w group by doc_id),
+facts as (select count(*) as docs, sum(n)::bigint as total from sizes),
+counts as (select doc_id, t, count(*) as tf from w group by doc_id, t),
+weights as (select t, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint as w from counts, facts group by t, docs),
+wanted as (select item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) as t from benchmark),
+scores as (
+  select item_id, counts.doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::bigint as score
+  from wanted join counts using (t) join weights using (t) join sizes on sizes.doc_id = counts.doc_id, facts
+  group by item_id, counts.doc_id
+),
+ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank from scores where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
+
+OP13 = f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+),
+marked as (
+  select *, upper(left(sha256(length(role) || ':' || role || text), 32)) as digest, len(regexp_extract_all(text, '{_WORDS}')) as words
+  from turns
+),
+own as (select conv_id, list(digest || '/' || words order by turn nulls first, role, digest) as l from marked group by conv_id),
+heads as (
+  select *, list_reduce(
+    list_prepend(4294967295::bigint, flatten([[x, -1, -1, -1, -1, -1, -1, -1, -1] for x in [ascii(c) for c in string_split(conv_id::varchar, '')]])),
+    lambda a, x: case when x >= 0 then xor(a, x::bigint) else xor(a >> 1, 3988292384::bigint * (a & 1)) end) as crc
+  from own
+),
+rebuilt as (
+  select c.conv_id, list_concat(
+    coalesce(list_slice(b.l, 1, (xor(c.crc, 4294967295) % 4)::int), []), list_slice(c.l, (xor(c.crc, 4294967295) % 4)::int + 1, len(c.l))) as p
+  from heads c left join own b on b.conv_id = c.conv_id - c.conv_id % 20
+),
+members as (select conv_id, p, unnest(range(0, len(p) + 1)) as d from rebuilt),
+keyed as (select *, array_to_string(list_slice(p, 1, d), ',') as k from members),
+nodes as (
+  select k, d, min(conv_id) as conv_id, count(*) as n_convs, any_value(list_slice(p, 1, d)) as path,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where len(p) = d), '')) as ends_sha256
+  from keyed group by k, d
+),
+up as (
+  select *, array_to_string(list_slice(path, 1, d - 1), ',') as pk,
+    case when d = 0 then 0 else split_part(path[d], '/', 2)::bigint end as words
+  from nodes
+),
+kids as (select pk, d - 1 as d, count(*) as n from up where d > 0 group by all),
+shaped as (select up.*, coalesce(n, 0) as n_children from up left join kids on kids.pk = up.k and kids.d = up.d),
+lines as (select unnest(range(0, d + 1)) as a, path, n_children, (n_convs - 1) * words as saved from shaped),
+sums as (
+  select a as d, array_to_string(list_slice(path, 1, a), ',') as k, count(*) filter (where n_children = 0) as n_leaves, sum(saved)::bigint as saved_tokens
+  from lines group by all
+)
+select s.conv_id, s.d as depth, p.conv_id as parent_conv_id, s.n_convs, s.n_children, n_leaves, saved_tokens, s.ends_sha256
+from shaped s join sums on sums.k = s.k and sums.d = s.d left join nodes p on p.k = s.pk and p.d = s.d - 1
+"""
+
 ORACLES = {
     "op1_cover_tree_search": OP1,
     "op7_vector_duplicates": OP7,
     "op8_chat_formatting": OP8,
     "op9_minhash_duplicates": OP9,
     "op10_substring_dedup": OP10,
+    "op11_secret_owners": OP11,
+    "op12_lexical_search": OP12,
+    "op13_prefix_trie": OP13,
 }

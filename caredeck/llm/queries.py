@@ -9,7 +9,10 @@ from . import (
     cover_tree,
     html_text,
     hyperminhash,
+    lexical_scan,
     pii_bootstrap,
+    prefix_skeleton,
+    secret_owners,
     seed_extend,
     source_mix,
     toxicity_chain,
@@ -77,10 +80,35 @@ def op10_substring_dedup(spark, folder):
     )
 
 
+def op11_secret_owners(spark, folder):
+    found = secret_owners.find_secrets(_table(spark, folder, "documents"))
+    spans = F.col("spans")
+
+    def number(field, value):
+        return F.size(F.filter(spans, lambda s: s[field] == value)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[number("kind", i).alias(f"n_{name}") for i, name in enumerate(secret_owners.KINDS)],
+        F.sha2(secret_owners.listed(F.filter(spans, lambda s: s["kind"] < 3)), 256).alias("base_sha256"),
+        secret_owners.listed(spans).alias("spans"),
+        *[number("verdict", name).alias(f"n_{name}") for name in ("live", "example")],
+    )
+
+
+def op12_lexical_search(spark, folder):
+    return lexical_scan.rank_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_prefix_trie(spark, folder):
+    return prefix_skeleton.conversation_trie(_table(spark, folder, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_cover_tree_search, op2_html_extraction, op3_source_mixing, op4_best_fit_packing, op5_toxicity,
         op6_personal_data, op7_vector_duplicates, op8_chat_formatting, op9_minhash_duplicates, op10_substring_dedup,
+        op11_secret_owners, op12_lexical_search, op13_prefix_trie,
     )
 }
