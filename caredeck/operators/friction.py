@@ -3,14 +3,19 @@
 from pyspark.sql import functions as F
 
 from ..functions.numeric import flag, share, total
-from .ranking import small_domain_quantiles
+from .ranking import quantiles
 
 FRICTION_LEVELS = ("high", "low", "medium")
 
 
-def friction(complaints):
-    """Complaints with long-conversation flags, friction score (0..15) and level."""
-    limits = small_domain_quantiles(complaints.select("turn_count"), "turn_count", [0.90, 0.95]).scalar()
+def friction(complaints, turns=None):
+    """Complaints with long-conversation flags, friction score (0..15) and level.
+
+    `turns` is a cheaper table of the same turn counts to take the limits from, where there is one.
+    """
+    counts = (complaints if turns is None else turns).select("turn_count")
+    found = {row["p"]: row["value"] for row in quantiles(counts, {"turn_count": [0.90, 0.95]}).collect()}
+    limits = [F.lit(found.get(p)).cast("double") for p in (0.90, 0.95)]
     repeated = F.col("customer_repetition_count_v3") > 0
     unresolved = F.col("unresolved_problem_count_v3") > 0
     frustrated = F.col("customer_frustration_count_v3") > 0

@@ -5,6 +5,7 @@ are sampled, so a second evaluation could place rows differently) and add each p
 offset. Only one row per partition reaches the driver.
 """
 
+import math
 from itertools import accumulate
 
 from pyspark.sql import Window
@@ -14,6 +15,10 @@ from ..storage import materialise
 
 # monotonically_increasing_id() keeps the row's place in its partition in the low 33 bits.
 _PLACE_BITS = 33
+# Values with more than 1 / HOT_VALUES of the rows are looked up by broadcast; there are at most so many.
+HOT_VALUES = 1000
+# Accuracy of the approximate percentiles around a quantile; distinct values that are fetched from between them.
+BRACKET, INSIDE = 10_000, 100_000
 
 
 def _placed(df, order):
@@ -76,98 +81,136 @@ def join_groups(df, groups, by):
 
 
 def with_percentile(df, score, by=(), name="risk_percentile"):
-    """Average rank of the score divided by the row count (ties share their mean rank)."""
+    """Average rank of the score divided by the row count (ties share their mean rank).
+
+    Equal scores are counted before they move. Scores that hold a large share of the rows are looked up in a broadcast
+    of at most HOT_VALUES rows, in place; no other score has more than 1 / HOT_VALUES of the rows, so the shuffled
+    lookup of the rest has no hot key.
+    """
     keys = [*by, score]
-    scores = df.groupBy(*keys).agg(F.count("*").alias("_ties"))
+    scores = df.where(F.col(score).isNotNull()).groupBy(*keys).agg(F.count("*").alias("_ties"))
     running = with_running_totals(scores, [F.col(k) for k in keys], {"_upto": F.col("_ties")})
     groups = running.groupBy(*by).agg(
         F.min(F.col("_upto") - F.col("_ties")).alias("_below"), F.sum("_ties").alias("_rows")
     )
     pct = (F.col("_upto") - F.col("_below") - (F.col("_ties") - 1) / F.lit(2.0)) / F.col("_rows")
-    lookup = join_groups(running, groups, by).select(*keys, pct.alias(name))
+    lookup = materialise(join_groups(running, groups, by).select(*keys, "_ties", pct.alias(name)))
+    floor = lookup.agg(F.sum("_ties") / F.lit(HOT_VALUES)).scalar()
+    hot = F.broadcast(lookup.where(F.col("_ties") > floor).select(*keys, name))
+    rest = lookup.where(F.col("_ties") <= floor).select(*keys, name)
+    placed = df.join(hot, keys, "left")
     # A null score has no percentile, hence the left join.
-    return df.join(lookup, keys, "left")
+    others = placed.where(F.col(name).isNull()).drop(name).join(rest, keys, "left")
+    return placed.where(F.col(name).isNotNull()).unionByName(others)
 
 
 def _blend(low, high, fraction):
     """Linear interpolation, computed from the nearer end."""
-    return F.when(fraction < 0.5, low + (high - low) * fraction).otherwise(high - (high - low) * (1 - fraction))
+    return low + (high - low) * fraction if fraction < 0.5 else high - (high - low) * (1 - fraction)
+
+
+class _Bracket:
+    """Bounds around the two values a quantile lies between; no bounds at first."""
+
+    def __init__(self, name, p):
+        self.name, self.p = name, p
+        self.low = self.high = self.total = self.rows = self.values = None
+        self.below = 0
+
+    def places(self):
+        """The 0-based places of the two values, and how far the quantile is from the first to the second."""
+        at = (self.total - 1) * self.p
+        return math.floor(at), math.ceil(at), at - math.floor(at)
+
+    def holds(self, column):
+        """Whether a value lies between the bounds."""
+        fits = column.isNotNull()
+        fits = fits if self.low is None else fits & (column >= self.low)
+        return fits if self.high is None else fits & (column <= self.high)
+
+    def shares(self):
+        """Probabilities, inside the present bounds, between which both places are sure to lie."""
+        margin = 3 / BRACKET
+        if self.total is None:
+            low = high = self.p
+        else:
+            first, second, _ = self.places()
+            low, high = (first - self.below) / self.rows, (second - self.below + 1) / self.rows
+        return [max(0.0, low - margin), min(1.0, high + margin)]
+
+    def value(self):
+        """From the (value, count) pairs inside the bounds."""
+        first, second, fraction = self.places()
+        passed, found = self.below, {}
+        for value, n in sorted(self.values):
+            for place in (first, second):
+                if passed <= place < passed + n:
+                    found[place] = value
+            passed += n
+        return _blend(found[first], found[second], fraction)
+
+
+def _narrow(values, brackets):
+    """Tighter bounds for each bracket, by approximate percentiles of the rows inside it; none where the rows are few."""
+    wanted = []
+    for i, b in enumerate(brackets):
+        column = F.col(f"`{b.name}`")
+        inside = F.when(b.holds(column), column)
+        wanted += [F.count(inside), F.percentile_approx(inside, b.shares(), BRACKET)]
+    facts = list(values.agg(*[c.alias(f"_{i}") for i, c in enumerate(wanted)]).first())
+    for b, rows, bounds in zip(brackets, facts[::2], facts[1::2], strict=True):
+        b.total = rows if b.total is None else b.total
+        b.rows = rows
+        if rows > INSIDE:
+            b.low, b.high = bounds
+
+
+def _count_inside(values, brackets):
+    """Count the rows below each bracket and the distinct values in it; fetch those that are few."""
+    cells = []
+    for i, b in enumerate(brackets):
+        column = F.col(f"`{b.name}`")
+        below = F.lit(False) if b.low is None else column < b.low
+        cell = F.struct(F.lit(i).alias("i"), below.alias("below"), F.when(~below, column).alias("value"))
+        cells.append(F.when(below | b.holds(column), cell))
+    counted = values.select(F.inline(F.array_compact(F.array(*cells)))).groupBy("i", "below", "value").agg(F.count("*").alias("n"))
+    counted = materialise(counted)
+    for row in counted.groupBy("i", "below").agg(F.sum("n").alias("rows"), F.count("*").alias("distinct")).collect():
+        b = brackets[row["i"]]
+        if row["below"]:
+            b.below = row["rows"]
+        else:
+            b.rows, b.distinct = row["rows"], row["distinct"]
+    few = [i for i, b in enumerate(brackets) if b.distinct <= INSIDE]
+    fetched = {i: [] for i in few}
+    for row in counted.where(F.col("i").isin(few) & ~F.col("below")).collect():
+        fetched[row["i"]].append((row["value"], row["n"]))
+    for i, pairs in fetched.items():
+        brackets[i].values = pairs
 
 
 def quantiles(df, wanted):
     """Exact quantiles with linear interpolation, nulls ignored, for any number of distinct values.
 
-    `wanted` maps column -> list of probabilities. Gives rows (column, p, value); a column with
-    no values gives none. Equal values are counted before they move.
+    `wanted` maps column -> list of probabilities. Gives rows (column, p, value); a column with no values gives none.
+    Nothing is sorted as a whole: approximate percentiles bracket each quantile, rows below the bracket are counted, and
+    only the distinct values inside, INSIDE at most, are fetched with their counts; a bracket that holds more is narrowed
+    again. Each round is two aggregates of the table, which is read as it is, so hand in a written one if it is costly.
     """
-    names = list(wanted)
-    pairs = ", ".join(f"'{n}', cast(`{n}` as double)" for n in names)
-    counts = (
-        df.select(F.expr(f"stack({len(names)}, {pairs}) as (column, value)"))
-        .where("value is not null")
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("_n"))
-    )
-    running = with_running_totals(counts, [F.col("column"), F.col("value")], {"_upto": F.col("_n")})
-    bounds = running.groupBy("column").agg(
-        F.min(F.col("_upto") - F.col("_n")).alias("_below"), F.sum("_n").alias("_rows")
-    )
-    targets = df.sparkSession.createDataFrame(
-        [(name, float(p)) for name, ps in wanted.items() for p in ps], "column string, p double"
-    )
-    at = (F.col("_rows") - 1) * F.col("p")
-    targets = targets.join(bounds, "column").withColumn("_at", at)
-    reached = F.col("_upto") - F.col("_below")
-
-    def covers(position):
-        return (reached > position) & (reached - F.col("_n") <= position)
-
-    low, high = F.floor("_at"), F.ceil("_at")
-    picked = (
-        running.join(F.broadcast(targets), "column")
-        .where(covers(low) | covers(high))
-        .groupBy("column", "p")
-        .agg(
-            F.min(F.when(covers(low), F.col("value"))).alias("_low"),
-            F.min(F.when(covers(high), F.col("value"))).alias("_high"),
-            F.first(F.col("_at") - low).alias("_fraction"),
-        )
-    )
-    return picked.select("column", "p", _blend(F.col("_low"), F.col("_high"), F.col("_fraction")).alias("value"))
+    values = df.select([F.col(f"`{n}`").cast("double").alias(n) for n in wanted])
+    brackets = [_Bracket(n, float(p)) for n, ps in wanted.items() for p in ps]
+    _narrow(values, brackets)
+    brackets = [b for b in brackets if b.rows]
+    open_ = brackets
+    while open_:
+        _count_inside(values, open_)
+        open_ = [b for b in open_ if b.values is None]
+        if open_:
+            _narrow(values, open_)
+    data = [(b.name, b.p, b.value()) for b in brackets]
+    return df.sparkSession.createDataFrame(data, "column string, p double, value double")
 
 
 def quantile(df, column, p):
     """One-row frame (value) with one exact quantile; null for a column without values."""
     return quantiles(df, {column: [p]}).agg(F.max("value").alias("value"))
-
-
-def small_domain_quantiles(df, column, ps):
-    """One-row frame (values: array) of exact quantiles of an integer column with few distinct values.
-
-    Meant for counts such as turns per conversation: the distinct values, not the rows, are
-    gathered, so this stays one lazy aggregate.
-    """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    table = counts.agg(
-        F.array_sort(F.collect_list(F.struct(F.col(column).cast("double").alias("v"), "n"))).alias("t"),
-        F.sum("n").alias("rows"),
-    )
-    table = table.withColumn(
-        "reached",
-        F.transform(
-            "t",
-            lambda x, i: F.struct(
-                x["v"].alias("v"),
-                F.aggregate(F.slice("t", F.lit(1), i + 1), F.lit(0).cast("long"), lambda a, y: a + y["n"]).alias("c"),
-            ),
-        ),
-    )
-
-    def value_at(position):
-        return F.try_element_at(F.filter("reached", lambda x: x["c"] > position), F.lit(1))["v"]
-
-    def one(p):
-        at = (F.col("rows") - 1) * F.lit(float(p))
-        return _blend(value_at(F.floor(at)), value_at(F.ceil(at)), at - F.floor(at))
-
-    return table.select(F.array(*[one(p) for p in ps]).alias("values"))

@@ -60,9 +60,9 @@ def enrich(complaints, context):
     return with_repeat_default(joined.fillna(0, list(BILL_FLAGS)))
 
 
-def score(enriched, nfkc=False):
-    """Signals, friction, risk, priority and routing on enriched complaints."""
-    return routing(risk_priority(friction(complaint_signals(enriched, nfkc=nfkc))))
+def score(enriched, nfkc=False, turns=None):
+    """Signals, friction, risk, priority and routing on enriched complaints; `turns` is friction's."""
+    return routing(risk_priority(friction(complaint_signals(enriched, nfkc=nfkc), turns)))
 
 
 def build_features(customer, spending, complaints, reference_year=2026, nfkc=False):
@@ -73,4 +73,4 @@ def build_features(customer, spending, complaints, reference_year=2026, nfkc=Fal
     profile, threshold = customer_profile(customer, cycle, reference_year)
     bills = bill_shock(spending, complaints)
     context = materialise(month_context(complaints, profile, bills))
-    return FeatureTables(cycle, profile, threshold, bills, score(enrich(complaints, context), nfkc))
+    return FeatureTables(cycle, profile, threshold, bills, score(enrich(complaints, context), nfkc, complaints))

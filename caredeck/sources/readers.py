@@ -1,16 +1,15 @@
 """Raw JSON scans and the processed Parquet layer."""
 
 import json
-import re
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conversations import flatten_complaints
 from ..schemas import RAW, REFERENCE, validate_columns
+from .json_objects import object_texts, parse_objects
 from .sinks import save_table
 
 # Names of the processed layer's tables.
@@ -44,26 +43,13 @@ def read_json_lines(spark, path, table):
 def read_reference(spark, path, pretty=False):
     """Consecutive JSON objects of a knowledge base.
 
-    Objects may follow each other in any layout; a file is one task. `pretty` lets Spark split files instead, and
-    expects each object to close with a brace at the start of a line; a piece that holds anything but one whole
-    object fails the read.
+    Objects may follow each other in any layout, and a file is read by many tasks (a compressed one by one task).
+    `pretty` scans once instead of twice, but expects each object to close with a brace at the start of a line; a piece
+    that holds anything but one whole object fails the read.
     """
     if pretty:
         return _read_pretty(spark, path)
-    files = spark.read.text(path, wholetext=True)
-
-    def decode(batches):
-        decoder, space = json.JSONDecoder(), re.compile(r"\s*")
-        for batch in batches:
-            for text in batch["value"]:
-                at, records = space.match(text).end(), []
-                while at < len(text):
-                    record, at = decoder.raw_decode(text, at)
-                    records.append((str(record["document_id"]), record["content"]))
-                    at = space.match(text, at).end()
-                yield pd.DataFrame(records, columns=["document_id", "content"])
-
-    return files.mapInPandas(decode, REFERENCE)
+    return parse_objects(object_texts(spark, path), REFERENCE, ("document_id", "content"))
 
 
 def _read_pretty(spark, path):

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +144,36 @@ def test_customer_month(spark):
     assert (got["dominant_problem_category"], got["dominant_problem_subcategory"]) == ("a", "unknown")
     assert (got["max_business_risk_score"], got["max_priority_rank"]) == (44, 4)
     assert got["no_billable_activity_next_2m"] == 0
+
+
+@pytest.mark.parametrize("inside, accuracy", [(5, 100), (40, 20), (100_000, 10_000)])
+def test_quantiles_by_bracket(spark, monkeypatch, inside, accuracy):
+    """Brackets that hold too many values are narrowed again; ties and few values end the search."""
+    monkeypatch.setattr(ranking, "INSIDE", inside)
+    monkeypatch.setattr(ranking, "BRACKET", accuracy)
+    draw = np.random.default_rng(6)
+    values = {
+        "even": np.arange(4000.0), "drawn": draw.standard_normal(4000), "tied": np.repeat([1.0, 2.0, 5.0, 5.5], [1, 2999, 999, 1]),
+        "skewed": draw.pareto(0.5, 4000),
+    }
+    rows = spark.createDataFrame([tuple(float(c[i]) for c in values.values()) for i in range(4000)], list(values))
+    rows = rows.unionByName(spark.createDataFrame([(None,) * 4] * 7, rows.schema)).repartition(5)
+    ps = [0.0, 0.1, 0.25, 0.5, 0.8, 0.9, 0.95, 0.999, 1.0]
+    got = {(r["column"], r["p"]): r["value"] for r in ranking.quantiles(rows, {n: ps for n in values}).collect()}
+    for name, column in values.items():
+        for p in ps:
+            assert got[name, p] == pytest.approx(np.quantile(column, p), rel=1e-12, abs=1e-12)
+
+
+def test_percentile_with_a_hot_score(spark):
+    """Half of the rows share a score: they are looked up in place, and no task of the rest holds more than its share."""
+    scores = [0.5] * 3000 + [i / 3000 for i in range(3000)] + [None] * 5
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "customer_id long, score double")
+    ranked = ranking.with_percentile(rows, "score")
+    got = {r["customer_id"]: r["risk_percentile"] for r in ranked.collect()}
+    known = sorted(s for s in scores if s is not None)
+    low, ties = known.index(0.5), known.count(0.5)
+    assert got[0] == pytest.approx((low + (ties + 1) / 2) / len(known)) and got[6003] is None
+    assert got[3000] == pytest.approx(1 / len(known)) and len(got) == len(scores)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan

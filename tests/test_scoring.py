@@ -3,7 +3,7 @@ import pytest
 from caredeck.operators import risk, rollups
 from caredeck.operators.conversations import flatten_complaints
 from caredeck.operators.friction import friction
-from caredeck.operators.ranking import small_domain_quantiles
+from caredeck.operators.ranking import quantiles
 from caredeck.operators.routing import CLOSING_ACTION, LADDER, routing
 from caredeck.operators.signals import complaint_signals, signal_distribution
 
@@ -72,7 +72,7 @@ def test_friction(spark):
 
 def test_turn_quantiles(spark):
     rows = spark.createDataFrame([(v,) for v in (2, 3, 4, 5, 20, None)], "t int")
-    assert small_domain_quantiles(rows, "t", [0.9, 0.95]).first()["values"] == pytest.approx([14, 17])
+    assert [r["value"] for r in quantiles(rows, {"t": [0.9, 0.95]}).sort("p").collect()] == pytest.approx([14, 17])
 
 
 def test_risk(spark):
