@@ -2,7 +2,6 @@
 
 import re
 import unicodedata
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -43,36 +42,79 @@ def _fold(term):
     return " ".join(unicodedata.normalize("NFKC", term.translate(table).lower()).split())
 
 
-def _phrase(term):
-    """(plain phrase, pattern that finds it where no word character touches it)."""
-    plain = _fold(term)
-    return plain, f"(?<!{WORD_CHARS}){re.escape(plain)}(?!{WORD_CHARS})"
+# Words, and between them runs of whatever is neither word nor blank: such a run keeps its neighbours apart.
+TOKENS = rf"{WORD_CHARS}+|[^\p{{L}}\p{{N}}_ ]+"
 
 
-def _found(text, term):
-    plain, pattern = _phrase(term)
-    # The byte search is cheap and rules most rows out before the pattern runs.
-    return F.contains(text, F.lit(plain)) & text.rlike(pattern)
+def _plain_words(plain):
+    """The words of a folded phrase if it is words and single blanks alone and can't overlap itself, else None."""
+    words = plain.split(" ")
+    if not all(re.fullmatch(r"\w+", w) for w in words) or any(words[:n] == words[-n:] for n in range(1, len(words))):
+        return None
+    return words
+
+
+def _let(value, body):
+    """`body` of a value that is computed once per row, however often `body` refers to it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def find_phrases(text, *families):
+    """Every occurrence of a phrase of any family in the normalised text as whole words, folded, in one pass.
+
+    The text is cut into words once; where a word starts a phrase, the following words are looked up in the set of all
+    phrases. A phrase nested in another is found beside it; one phrase never overlaps itself. Phrases that are not plain
+    words are counted by a pattern each.
+    """
+    plain = {_fold(term) for terms in families for term in terms}
+    words = {p: w for p in sorted(plain) if (w := _plain_words(p))}
+    lengths = sorted({len(w) for w in words.values()})
+    starts = sorted({w[0] for w in words.values()})
+
+    def phrases_at(tokens, at):
+        runs = [F.when(at + n - 1 <= F.size(tokens), F.array_join(F.slice(tokens, at, n), " ")) for n in lengths]
+        return F.array(*runs)
+
+    def in_tokens(tokens):
+        begins = F.array_compact(F.transform(tokens, lambda word, i: F.when(word.isin(starts), i + 1)))
+        runs = F.flatten(F.transform(begins, lambda at: phrases_at(tokens, at)))
+        return F.filter(runs, lambda run: run.isin(list(words)))
+
+    found = _let(F.regexp_extract_all(text, F.lit(TOKENS), F.lit(0)), in_tokens) if words else F.array().cast("array<string>")
+    for term in sorted(plain - set(words)):
+        pattern = f"(?<!{WORD_CHARS}){re.escape(term)}(?!{WORD_CHARS})"
+        found = F.concat(found, F.array_repeat(F.lit(term), F.regexp_count(text, F.lit(pattern))))
+    return found
+
+
+def any_found(found, terms):
+    """Whether `found` (of find_phrases) holds any of the phrases."""
+    return F.arrays_overlap(found, F.array(*[F.lit(_fold(t)) for t in terms]))
+
+
+def found_hits(found, terms):
+    """Array of the phrases that `found` holds, in list order."""
+    return F.array_compact(F.array(*[F.when(F.array_contains(found, _fold(t)), F.lit(t)) for t in terms]))
+
+
+def found_count(found, terms):
+    """Occurrences in `found` summed over the phrases."""
+    return F.size(F.filter(found, lambda p: p.isin(sorted({_fold(t) for t in terms}))))
 
 
 def any_phrase(text, terms):
     """True where the normalised text holds any of the phrases as whole words."""
-    return reduce(lambda a, b: a | b, [_found(text, term) for term in terms])
+    return any_found(find_phrases(text, terms), terms)
 
 
 def phrase_hits(text, terms):
     """Array of the phrases found in the normalised text, in list order."""
-    return F.array_compact(F.array(*[F.when(_found(text, term), F.lit(term)) for term in terms]))
+    return _let(find_phrases(text, terms), lambda found: found_hits(found, terms))
 
 
 def phrase_count(text, terms):
     """Occurrences summed over the phrases; a phrase nested in another counts for both."""
-
-    def occurrences(term):
-        plain, pattern = _phrase(term)
-        return F.when(F.contains(text, F.lit(plain)), F.regexp_count(text, F.lit(pattern))).otherwise(0)
-
-    return reduce(lambda a, b: a + b, [occurrences(term) for term in terms])
+    return found_count(find_phrases(text, terms), terms)
 
 
 def reason(hits, prefix="keyword"):

@@ -54,29 +54,41 @@ def terms_of(text, space):
 
 
 class KnowledgeIndex:
-    """`docs`: parsed documents, numbered by document_id order (doc_no).
+    """`docs`: parsed documents, numbered by document_id order (doc_no), `count` of them.
 
-    `postings(space)`: h1, h2, doc_no, weight, idf. Every document also has a posting of the empty
-    term with weight 0, so that documents sharing no term with a query are still ranked (score 0).
+    `vocabulary(space)`: h1, h2, term (a number of its own), df, idf and top, the term's largest weight in a document.
+    `postings(space)`: term, doc_no, weight. Both are written at first use; terms of both spaces never share a number.
     """
 
     def __init__(self, docs):
         self.docs = docs
-        self._postings = {}
-        self._sizes = {}
+        self._tables = {}
+        self._count = None
+
+    def vocabulary(self, space):
+        return self._weighed(space)[0]
 
     def postings(self, space):
-        """The weighting's postings, written at first use."""
-        if space not in self._postings:
+        return self._weighed(space)[1]
+
+    @property
+    def count(self):
+        if self._count is None:
+            self._count = self.docs.count()
+        return self._count
+
+    def _weighed(self, space):
+        if space not in self._tables:
             counts = _term_counts(self.docs, space)
+            vocabulary = counts.groupBy("h1", "h2").agg(F.count("*").alias("df"))
+            number = 2 * F.monotonically_increasing_id() + F.lit(int(space == BM25))
+            vocabulary = materialise(vocabulary.withColumn("term", number))
             weigh = _tfidf_weights if space == TFIDF else _bm25_weights
-            self._postings[space] = materialise(_with_empty_term(weigh(counts, self.docs), self.docs, space))
-        return self._postings[space]
-
-    def size(self, space):
-        if space not in self._sizes:
-            self._sizes[space] = self.postings(space).count()
-        return self._sizes[space]
+            vocabulary, weighed = weigh(counts, vocabulary, self.docs)
+            postings = materialise(weighed.select("term", "doc_no", "weight"))
+            tops = postings.groupBy("term").agg(F.max("weight").alias("top"))
+            self._tables[space] = (materialise(vocabulary.join(tops, "term")), postings)
+        return self._tables[space]
 
 
 def build_index(reference, nfkc=False):
@@ -105,36 +117,25 @@ def _document_count(docs):
     return docs.agg(F.count("*")).scalar()
 
 
-def _tfidf_weights(counts, docs):
+def _tfidf_weights(counts, vocabulary, docs):
     """Raw count times smoothed idf, scaled to unit length per document."""
-    vocabulary = counts.groupBy("h1", "h2").agg(F.count("*").alias("df"))
     idf = F.log((1 + _document_count(docs)) / (1 + F.col("df"))) + 1
-    weighed = counts.join(vocabulary.select("h1", "h2", idf.alias("idf")), ["h1", "h2"])
+    vocabulary = vocabulary.withColumn("idf", idf)
+    weighed = counts.join(vocabulary, ["h1", "h2"])
     raw = F.col("tf") * F.col("idf")
     lengths = weighed.groupBy("doc_no").agg(F.sqrt(F.sum(raw * raw)).alias("norm"))
-    return weighed.join(lengths, "doc_no").withColumn("weight", raw / F.col("norm"))
+    return vocabulary, weighed.join(lengths, "doc_no").withColumn("weight", raw / F.col("norm"))
 
 
-def _bm25_weights(counts, docs):
+def _bm25_weights(counts, vocabulary, docs):
     """Okapi weights; a term in most documents gets a share of the mean idf instead of a negative one."""
     n, tf = _document_count(docs), F.col("tf")
-    vocabulary = counts.groupBy("h1", "h2").agg(F.count("*").alias("df"))
     raw = F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
-    vocabulary = vocabulary.select("h1", "h2", raw.alias("raw"))
+    vocabulary = vocabulary.withColumn("raw", raw)
     floor = vocabulary.agg(F.avg("raw") * BM25_FLOOR).scalar()
-    idf = F.when(F.col("raw") < 0, floor).otherwise(F.col("raw"))
+    vocabulary = vocabulary.withColumn("idf", F.when(F.col("raw") < 0, floor).otherwise(F.col("raw"))).drop("raw")
     lengths = counts.groupBy("doc_no").agg(F.sum("tf").alias("length"))
     mean_length = counts.agg(F.sum("tf")).scalar() / n
     damped = tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / mean_length))
-    return (
-        counts.join(vocabulary.select("h1", "h2", idf.alias("idf")), ["h1", "h2"])
-        .join(lengths, "doc_no")
-        .withColumn("weight", F.col("idf") * damped)
-    )
-
-
-def _with_empty_term(weighed, docs, space):
-    columns = ("h1", "h2", "doc_no", "weight", "idf")
-    h1, h2 = term_key(space, F.lit(""))
-    empty = docs.select(h1.alias("h1"), h2.alias("h2"), "doc_no", F.lit(0.0).alias("weight"), F.lit(0.0).alias("idf"))
-    return weighed.select(*columns).unionByName(empty)
+    weighed = counts.join(vocabulary, ["h1", "h2"]).join(lengths, "doc_no")
+    return vocabulary, weighed.withColumn("weight", F.col("idf") * damped)

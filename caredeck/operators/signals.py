@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lexicon import TELECOM_TR
 from ..functions.numeric import flag, share, total
-from ..functions.text import any_phrase, normalize, phrase_count, phrase_hits, reason
+from ..functions.text import any_found, find_phrases, found_count, found_hits, normalize, reason
 
 SIGNALS = (
     "has_legal_risk",
@@ -42,9 +42,19 @@ def complaint_signals(complaints, lexicon=TELECOM_TR, nfkc=False):
         }
     )
     families = ("legal", "churn", "billing_strong", "billing_context", "technical_strong", "technical_context")
-    hits = texts.withColumns({f"_{name}": phrase_hits(F.col("_full"), getattr(lexicon, name)) for name in families})
+    said = ("repetition", "unresolved", "frustration")
+    answered = ("clarification", "billing_action", "tech_action")
+    # One pass over each text finds the phrases of all families that are looked for in it.
+    found = texts.withColumns(
+        {
+            "_full": find_phrases(F.col("_full"), *[getattr(lexicon, name) for name in families]),
+            "_customer": find_phrases(F.col("_customer"), *[getattr(lexicon, name) for name in said]),
+            "_agent": find_phrases(F.col("_agent"), *[getattr(lexicon, name) for name in answered]),
+        }
+    )
+    hits = found.withColumns({f"_{name}": found_hits(F.col("_full"), getattr(lexicon, name)) for name in families})
     hits = hits.withColumns(
-        {f"_{name}": any_phrase(F.col("_agent"), getattr(lexicon, name)) for name in ("billing_action", "tech_action")}
+        {f"_{name}": any_found(F.col("_agent"), getattr(lexicon, name)) for name in ("billing_action", "tech_action")}
     )
     is_billing = F.col("_category").isin(*lexicon.billing_categories)
     is_technical = F.col("_category").isin(*lexicon.technical_categories)
@@ -58,10 +68,10 @@ def complaint_signals(complaints, lexicon=TELECOM_TR, nfkc=False):
             "churn_signal_reason": reason(F.col("_churn"), "retention_keyword"),
             "billing_signal_reason": _guarded("billing", is_billing),
             "technical_signal_reason": _guarded("technical", is_technical),
-            "customer_repetition_count_v3": phrase_count(F.col("_customer"), lexicon.repetition),
-            "unresolved_problem_count_v3": phrase_count(F.col("_customer"), lexicon.unresolved),
-            "customer_frustration_count_v3": phrase_count(F.col("_customer"), lexicon.frustration),
-            "agent_clarification_count_v3": phrase_count(F.col("_agent"), lexicon.clarification),
+            "customer_repetition_count_v3": found_count(F.col("_customer"), lexicon.repetition),
+            "unresolved_problem_count_v3": found_count(F.col("_customer"), lexicon.unresolved),
+            "customer_frustration_count_v3": found_count(F.col("_customer"), lexicon.frustration),
+            "agent_clarification_count_v3": found_count(F.col("_agent"), lexicon.clarification),
             # The agent acted on the other kind of problem only.
             "potential_agent_mismatch": flag(
                 (is_billing & F.col("_tech_action") & ~F.col("_billing_action"))

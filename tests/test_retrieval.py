@@ -64,7 +64,7 @@ def test_cosine(spark, small):
 
 
 def test_bm25_floor(spark, small):
-    idf = {round(r["idf"], 6) for r in small.postings(knowledge.BM25).where("weight > 0").collect()}
+    idf = {round(r["idf"], 6) for r in small.vocabulary(knowledge.BM25).collect()}
     assert idf == {0.510826, round(0.25 * 0.255413, 6)}
 
 
@@ -101,11 +101,12 @@ def brute_cosine(docs, query):
     return [sum(q[t] * v for t, v in vector(bag).items() if t in q) for bag in bags]
 
 
-@pytest.mark.parametrize("limit", [retrieval.PACKED_LIMIT, 150])
+@pytest.mark.parametrize("block, seeds", [(1_000_000, 2_000), (40, 3)])
 @pytest.mark.parametrize("method", [knowledge.TFIDF, knowledge.BM25, retrieval.HYBRID])
-def test_top_k_equals_brute_force(spark, monkeypatch, method, limit):
-    """Whole index in one broadcast, and cut into shards with several query batches."""
-    monkeypatch.setattr(retrieval, "BATCH_QUERIES", 4)
+def test_top_k_equals_brute_force(spark, monkeypatch, method, block, seeds):
+    """All queries in one block, and several blocks with few seeds."""
+    monkeypatch.setattr(retrieval, "BLOCK_TERMS", block)
+    monkeypatch.setattr(retrieval, "SEED_POSTINGS", seeds)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(25)] + ["ortak"] * 8
     docs = [" ".join(rng.choices(words, k=rng.randint(1, 20))) for _ in range(30)]
@@ -119,26 +120,26 @@ def test_top_k_equals_brute_force(spark, monkeypatch, method, limit):
             scores = [0.5 * c + 0.5 * b / max(bm) for c, b in zip(cosine, bm)]
         order = sorted(range(len(docs)), key=lambda i: (-round(scores[i], 9), i))[:4]
         expected += [(q, f"d{i:02d}", scores[i]) for i in order]
-    got = ranked(retrieval.retrieve(index, queries(spark, asked), 4, method, packed_limit=limit))
+    got = ranked(retrieval.retrieve(index, queries(spark, asked), 4, method))
     assert [g[:2] for g in got] == [e[:2] for e in expected]
     assert [g[2] for g in got] == pytest.approx([e[2] for e in expected], abs=1e-9)
 
 
 @pytest.mark.parametrize("method", [knowledge.TFIDF, knowledge.BM25, retrieval.HYBRID])
 def test_null_and_repeated_keys_by_size(spark, monkeypatch, method):
-    """Rows with a null or a shared key are queries of their own, whether the index is broadcast or cut."""
-    monkeypatch.setattr(retrieval, "BATCH_QUERIES", 2)
+    """Rows with a null or a shared key are queries of their own, in one block or several."""
     rng = random.Random(7)
     words = [f"w{i}" for i in range(25)]
     index = bare_index(spark, [(f"d{i:02d}", " ".join(rng.choices(words, k=12))) for i in range(30)])
     asked = [(key, " ".join(rng.choices(words, k=5))) for key in (1, 1, 1, 2, None, None, None)]
     frame = spark.createDataFrame(asked, "query_id long, query string")
 
-    def found(limit):
-        rows = retrieval.retrieve(index, frame, 2, method, packed_limit=limit).collect()
+    def found(block):
+        monkeypatch.setattr(retrieval, "BLOCK_TERMS", block)
+        rows = retrieval.retrieve(index, frame, 2, method).collect()
         return sorted(((r["query_id"] or 0, r["rank"], r["document_id"], round(r["score"], 9)) for r in rows))
 
-    whole, cut = found(retrieval.PACKED_LIMIT), found(150)
+    whole, cut = found(1_000_000), found(8)
     assert len(whole) == 2 * len(asked)
     assert cut == whole
 
@@ -170,13 +171,49 @@ def test_quality_at_depth(spark, monkeypatch):
     assert got["ndcg_at_5"] == pytest.approx(1.130930, abs=1e-6)
 
 
+def test_search_is_relational(spark):
+    index = bare_index(spark, [(f"d{i}", f"w{i} w{i % 7} ortak") for i in range(40)])
+    plan = retrieval.retrieve(index, queries(spark, ["w1 ortak", "w2"]), 3, retrieval.HYBRID)._jdf.queryExecution().toString()
+    for name in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"):
+        assert name not in plan
+
+
+def test_frequent_terms_are_skipped_but_counted(spark, monkeypatch):
+    """A term of every document can't lift one to the bound, and still adds to the survivors' scores."""
+    monkeypatch.setattr(retrieval, "SEED_POSTINGS", 1)
+    monkeypatch.setattr(retrieval, "SKIPPED_SHARE", 1.0)
+    docs = [f"nadir{i // 5} ortak {'dolgu ' * (i % 3)}x{i}" for i in range(200)]
+    index = bare_index(spark, [(f"d{i:03d}", d) for i, d in enumerate(docs)])
+    seen = []
+    kept = retrieval._sums
+    monkeypatch.setattr(retrieval, "_sums", lambda p, t: seen.append(t) or kept(p, t))
+    got = ranked(retrieval.retrieve(index, queries(spark, ["nadir3 ortak dolgu"]), 3, knowledge.BM25))
+    scores = brute_bm25(docs, "nadir3 ortak dolgu")
+    order = sorted(range(200), key=lambda i: (-round(scores[i], 9), i))[:3]
+    assert [(d, round(s, 9)) for _, d, s in got] == [(f"d{i:03d}", round(scores[i], 9)) for i in order]
+    assert seen[-1].count() == 1  # of three terms
+
+
 def test_sample(spark):
     rows = spark.range(50).select(F.col("id").alias("query_id"), F.lit("a").alias("problem_category"))
-    once = [r["query_id"] for r in retrieval.sample_rows(rows, 10).collect()]
-    assert len(set(once)) == 10 and once == [r["query_id"] for r in retrieval.sample_rows(rows.repartition(3), 10).collect()]
+    once = {r["query_id"] for r in retrieval.sample_rows(rows, 10).collect()}
+    assert len(once) == 10 and once == {r["query_id"] for r in retrieval.sample_rows(rows.repartition(3), 10).collect()}
     assert retrieval.sample_rows(rows, 50).count() == 50
 
 
+def test_sample_with_a_hot_key(spark, monkeypatch):
+    """The limit falls inside a key that half of the rows share: the same rows for any partitioning, equal rows included."""
+    monkeypatch.setattr(retrieval, "BUCKET_ROWS", 3)
+    rows = spark.range(600).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("query_id"),
+        F.when(F.col("id") % 10 != 3, "a").alias("problem_category"), (F.col("id") % 150).alias("other"),
+    )
+    for limit in (1, 100, 299, 401, 539):
+        picked = [sorted(map(tuple, retrieval.sample_rows(rows.repartition(n), limit).collect())) for n in (1, 4)]
+        assert len(picked[0]) == limit and picked[0] == picked[1]
+        assert all(category == "a" for _, category, _ in picked[0])
+
+
 DOCS = "array<struct<document_id:string,title:string,category:string,score:double,content_snippet:string>>"
 
 

@@ -5,6 +5,7 @@ import re
 from caredeck.functions.lexicon import CATEGORY_SYNONYMS, TELECOM_TR
 from caredeck.operators.replies import TEXTS
 
+from .queries import COUNTED
 from .views import VIEWS
 
 
@@ -36,6 +37,12 @@ def count(text, terms):
     return "(" + " + ".join(rf"len(regexp_extract_all({text}, '\b{t}\b'))" for t in terms) + ")::int"
 
 
+def spaced_count(term):
+    """Occurrences in a text of tokens that each have a blank on either side."""
+    quoted = "' " + term.replace(" ", "  ") + " '"
+    return f"(len(t) - len(replace(t, {quoted}, ''))) // len({quoted})"
+
+
 def reason(array, prefix):
     return f"array_to_string(list_transform({array}, lambda x: '{prefix}:' || x), '; ')"
 
@@ -353,10 +360,14 @@ STAGES["ev"] = """
       sum((rel and rnk<=3)::int) / least(3, count(*))::double precision_at_3,
       coalesce(1.0 / min(rnk) filter (where rel), 0)::double mrr_at_5,
       sum(case when rel then 1/log2(rnk+1) else 0 end) ndcg_at_5 from rel group by 1,2,3"""
+# The same chain over the knowledge base of one language, which the replies rest on.
+_CHAIN = ("kb", "dtf", "tidf", "dw", "qw", "cos", "cpairs", "top5")
+for _name in _CHAIN:
+    STAGES[f"{_name}_en"] = re.sub(rf"\b({'|'.join(_CHAIN)}|v_reference)\b", r"\1_en", STAGES[_name])
 STAGES["ans"] = """
     select q.*, list(t.document_id order by rnk) ids, max(score) filter (where rnk=1) confidence,
       list({'id': t.document_id, 'title': k.title, 'snippet': k.content} order by rnk) docs
-    from qs q join (select * from top5 where rnk <= 3) t using (query_id) join kb k using (document_id) group by all"""
+    from qs q join (select * from top5_en where rnk <= 3) t using (query_id) join kb_en k using (document_id) group by all"""
 
 
 def fill(template, *values):
@@ -467,12 +478,11 @@ QUERIES = {
         from (select *, lower(role) in ('customer','musteri','user') c from conversations) group by 1""",
     "normalize_text": f"""select doc_id, t text_norm, case when t = '' then 0 else len(string_split(t,' ')) end::int words
         from (select doc_id, {norm('text')} t from documents)""",
-    "phrase_counts": "select complaint_id, "
-    + ", ".join(
-        f"{count('t', getattr(L, f))} {f}"
-        for f in ("legal", "churn", "billing_context", "technical_context", "repetition", "clarification")
-    )
-    + f" from (select complaint_id, {norm('full_text')} t from v_complaints)",
+    "phrase_counts": "select kind, id, "
+    + ", ".join(f"({' + '.join(spaced_count(t) for t in terms)})::int {name}" for name, terms in COUNTED.items())
+    + rf""" from (select kind, id, ' ' || array_to_string(regexp_extract_all(t, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_ ]+'), '  ') || ' ' t
+        from (select 'document' kind, doc_id id, {norm('text')} t from documents
+              union all select 'complaint', complaint_id, {norm('full_text')} from v_complaints))""",
     "category_terms": f"""select complaint_id, array_to_string({SYNONYMS.format(c='problem_category')}, '|') terms
         from v_complaints""",
     "complaint_signals": "select * exclude (turn_count) from sig",
@@ -563,7 +573,7 @@ QUERIES = {
     + """, round(avg(top1_score),6) avg_top1_score, round(median(top1_score),6) median_top1_score,
         round(avg((top1_document_id <> '')::int),6) source_coverage_rate from ev""",
     "template_replies": f"""select query_id, {fill('confirm', 'problem_category', 'problem_subcategory')} confirmation_prompt,
-        {fill('summary', "'2024-01'", 'problem_category', "'None'", "'None'", "'None'")} conversation_summary,
+        {fill('summary', "billing_year_month", 'problem_category', "'None'", "'None'", "'None'")} conversation_summary,
         case when {WEAK} then {quote(TEXTS['no_source_suggestion'])} else
           {fill('suggestion', 'array_to_string(ids, chr(44) || chr(32))')} end suggested_agent_reply,
         'source-grounded KB response' recommended_business_action from ans""",

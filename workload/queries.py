@@ -70,6 +70,10 @@ def _index(spark, folder):
     return _once("index", spark, folder, lambda: knowledge.build_index(register(spark, folder)["v_reference"]))
 
 
+def _english_index(spark, folder):
+    return _once("english", spark, folder, lambda: knowledge.build_index(register(spark, folder)["v_reference_en"]))
+
+
 def _scored(spark, folder):
     return register(spark, folder)["v_scored"]
 
@@ -171,16 +175,30 @@ def normalize_text(spark, folder):
     return docs.select("doc_id", tx.normalize(F.col("text")).alias("text_norm"), tx.word_count(F.col("text")).alias("words"))
 
 
-def phrase_counts(spark, folder):
-    rows = register(spark, folder)["v_complaints"]
-    clean = rows.select("complaint_id", tx.normalize(F.col("full_text")).alias("t"))
-    return clean.select(
-        "complaint_id",
-        *[
-            tx.phrase_count(F.col("t"), getattr(TELECOM_TR, family)).alias(family)
-            for family in ("legal", "churn", "billing_context", "technical_context", "repetition", "clarification")
-        ],
+# Function words of the languages the documents are written in, beside the complaint phrases.
+DOCUMENT_PHRASES = {
+    "english": ("the", "that the", "in the", "and the", "of"),
+    "french": ("les", "de la", "que", "et le"),
+    "spanish": ("de", "que en", "la", "en la"),
+    "german": ("der", "die und", "und", "in der"),
+}
+COUNTED = {
+    name: getattr(TELECOM_TR, name)
+    for name in (
+        "legal", "churn", "billing_strong", "billing_context", "technical_strong", "technical_context", "repetition",
+        "unresolved", "frustration", "clarification", "billing_action", "tech_action",
     )
+} | DOCUMENT_PHRASES
+
+
+def phrase_counts(spark, folder):
+    """Occurrences per family in whole documents and in whole complaints, all families in one pass over a text."""
+    v = register(spark, folder)
+    docs = v["documents"].select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text")
+    told = v["v_complaints"].select(F.lit("complaint").alias("kind"), F.col("complaint_id").alias("id"), F.col("full_text").alias("text"))
+    found = tx.find_phrases(tx.normalize(F.col("text")), *COUNTED.values())
+    rows = docs.unionByName(told).select("kind", "id", found.alias("found"))
+    return rows.select("kind", "id", *[tx.found_count(F.col("found"), terms).alias(name) for name, terms in COUNTED.items()])
 
 
 def category_terms(spark, folder):
@@ -483,14 +501,14 @@ def retrieval_metrics(spark, folder):
 
 
 def _answered(spark, folder):
-    """Queries with their three best documents."""
-    queries, index = _queries(spark, folder), _index(spark, folder)
+    """Queries with their three best documents of the knowledge base in one language."""
+    queries, index = _queries(spark, folder), _english_index(spark, folder)
     hits = retrieval.retrieve(index, queries, 3)
     return queries.join(retrieval.with_documents(hits, index), "query_id", "left")
 
 
 def template_replies(spark, folder):
-    rows = replies.template_texts(_answered(spark, folder).withColumn("billing_year_month", F.lit("2024-01")))
+    rows = replies.template_texts(_answered(spark, folder))
     return rows.select(
         "query_id", "confirmation_prompt", "conversation_summary", "suggested_agent_reply", "recommended_business_action"
     )

@@ -1,8 +1,10 @@
 """The driver's tables in the shape of the customer-care inputs.
 
-Every view's SQL runs unchanged on Spark and DuckDB.
+Every view's SQL is the same on Spark and DuckDB but for the ordered joining of texts, {joined(x)} below.
 """
 
+import re
+
 _BUCKET = "concat('2024-', lpad(cast(cast(floor((day(ts)-1)/3.0) as int)+1 as string),2,'0'))"
 
 PHRASES = """VALUES (0,'dava açacağım'), (1,'hattımı taşıyacağım'), (2,'fazla ücret yazılmış'), (3,'İADE istiyorum'),
@@ -15,7 +17,17 @@ AGENT_PHRASES = """VALUES (0,'tekrar eder misiniz'), (1,'faturanıza bakıyorum,
 (2,'modem ışığını kontrol edelim'), (3,'yardımcı olayım'), (4,'teknik ekip arayacak'), (5,'ücret detayı gönderildi'),
 (6,'iyi günler dilerim')"""
 
-VIEWS = {
+_REFERENCE = """select cast(doc_id as string) document_id, concat('# **Belge ', cast(doc_id as string), '** ', source,
+        chr(10), 'Kategori: ', case doc_id % 5 when 0 then 'Faturalandırma' when 1 then 'Mobil İnternet' when 2 then 'Kapsama'
+          when 3 then 'Bağlantı' else 'Kurulum' end,
+        chr(10), 'Sorun: konu ', cast(doc_id % 7 as string), chr(10), '## Çözüm Adımları', chr(10), text, chr(10), '## Notlar',
+        chr(10), 'son') content from documents"""
+
+_TEMPLATES = {
+    # Whole conversations: what the customer and the agent wrote, in order.
+    "v_chats": """select conv_id, coalesce(joined(case when role = 'user' then text end), '') user_text,
+        coalesce(joined(case when role <> 'user' then text end), '') agent_text,
+        coalesce(min_by(text, turn) filter (where role = 'user'), '') first_text from conversations group by conv_id""",
     "v_customer": """select c_custkey customer_id, n_name city, cast(1945 + c_custkey % 62 as int) birth_year
         from customer join nation on c_nationkey=n_nationkey""",
     "v_spending": f"""select user_id customer_id, {_BUCKET} billing_year_month,
@@ -27,32 +39,44 @@ VIEWS = {
         from orders group by 1,2""",
     "v_complaints": f"""with e as (select event_id complaint_id, user_id customer_id, {_BUCKET} billing_year_month,
           cast(regexp_extract(props,'[0-9]+',0) as int) k, event_id % 23 a,
-          cast(floor(event_id/23.0) as bigint) % 23 b, cast(floor(event_id/11.0) as bigint) % 7 g
-          from events where event_type='error'),
+          cast(floor(event_id/23.0) as bigint) % 23 b, cast(floor(event_id/11.0) as bigint) % 7 g,
+          event_id % (select max(conv_id) + 1 from conversations) chat from events where event_type='error'),
         phrases(i,t) as (select * from ({PHRASES}) p0), agent_phrases(i,t) as (select * from ({AGENT_PHRASES}) a0)
         select complaint_id, customer_id, billing_year_month,
           case k % 10 when 0 then 'billing' when 1 then 'data' when 2 then 'coverage' when 3 then 'voice'
             when 4 then 'connectivity' when 5 then 'speed' when 6 then 'sim_device' when 7 then 'equipment'
             when 8 then 'roaming' else 'installation' end problem_category,
           concat('sub_', cast(k % 3 as string)) problem_subcategory, cast(2 + complaint_id % 9 as int) turn_count,
-          concat(p.t,'. ',q.t) customer_text, r.t agent_text, concat(p.t,'. ',r.t,'. ',q.t) full_text,
+          concat(p.t,'. ',coalesce(user_text,''),' ',q.t) customer_text, concat(r.t,'. ',coalesce(c.agent_text,'')) agent_text,
+          concat(p.t,'. ',coalesce(user_text,''),' ',r.t,'. ',coalesce(c.agent_text,''),' ',q.t) full_text,
           p.t first_customer_message, q.t last_customer_message
-        from e join phrases p on p.i=a join phrases q on q.i=b join agent_phrases r on r.i=g""",
+        from e join phrases p on p.i=a join phrases q on q.i=b join agent_phrases r on r.i=g
+          left join v_chats c on c.conv_id = e.chat""",
     "v_scored": """select d.doc_id customer_id, '2024-01' billing_year_month, l.toxic y,
         cast(d.n_chars % 1000 as double)/1000 score, cast(d.n_chars as double) total_revenue
         from labels l join documents d on l.doc_id=d.doc_id""",
-    "v_reference": """select cast(doc_id as string) document_id, concat('# **Belge ', cast(doc_id as string), '** ', source,
-        chr(10), 'Kategori: ', case doc_id % 5 when 0 then 'Faturalandırma' when 1 then 'Mobil İnternet' when 2 then 'Kapsama'
-          when 3 then 'Bağlantı' else 'Kurulum' end,
-        chr(10), 'Sorun: konu ', cast(doc_id % 7 as string), chr(10), '## Çözüm Adımları', chr(10), text, chr(10), '## Notlar',
-        chr(10), 'son') content from documents""",
-    # Every document asks with its whole text; its first line stands for the first message.
-    "v_queries": """select doc_id query_id,
-        case doc_id % 3 when 0 then 'billing' when 1 then 'data' else 'coverage' end problem_category,
-        concat('konu ', cast(doc_id % 7 as string)) problem_subcategory,
-        split_part(text, chr(10), 1) first_customer_message, text customer_text from documents""",
+    "v_reference": _REFERENCE,
+    # A knowledge base of one language, which conversations in others find no source in.
+    "v_reference_en": _REFERENCE + " where lang = 'en'",
+    # Every conversation asks with all its customer wrote.
+    "v_queries": """select conv_id query_id,
+        case conv_id % 3 when 0 then 'billing' when 1 then 'data' else 'coverage' end problem_category,
+        concat('konu ', cast(conv_id % 7 as string)) problem_subcategory,
+        concat('2024-', lpad(cast(1 + conv_id % 12 as string), 2, '0')) billing_year_month,
+        first_text first_customer_message, user_text customer_text from v_chats""",
 }
 
+_JOINED = re.compile(r"joined\((case .*? end)\)", re.DOTALL)
+
+
+def dialect(joined):
+    """The views with `joined` in place of the ordered joining of texts."""
+    return {name: _JOINED.sub(joined, sql) for name, sql in _TEMPLATES.items()}
+
+
+VIEWS = dialect(r"string_agg(\1, ' ' order by turn, text)")
+SPARK_VIEWS = dialect(r"listagg(\1, ' ') within group (order by turn, text)")
+
 TABLES = ("nation", "customer", "orders", "events", "documents", "labels", "conversations")
 
 
@@ -65,7 +89,10 @@ def register(spark, folder):
     if key not in _registered:
         for name in TABLES:
             spark.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(name)
-        views = {name: spark.sql(sql) for name, sql in VIEWS.items()}
+        views = {}
+        for name, sql in SPARK_VIEWS.items():
+            views[name] = spark.sql(sql)
+            views[name].createOrReplaceTempView(name)
         views |= {name: spark.table(name) for name in ("conversations", "documents")}
         _registered[key] = views
     return _registered[key]
