@@ -17,9 +17,9 @@ PER_BAND = 4
 PERCENT = 75
 #: At the threshold an estimate's standard error is 0.038 with 128 registers; pairs nearly five of them below are dropped.
 ESTIMATE_SLACK = 0.18
-#: Buckets of up to this many open members are compared by a join, larger ones in tiles of TILE members.
+#: Buckets of up to this many open members are compared by a join, larger ones in tiles of about so many shingles.
 SMALL = 32
-TILE = 1024
+TILE_SHINGLES = 4_000_000
 #: Up to this many keys (a counted 32 MB: id, two hashes, class) pick their rows by a broadcast; beyond it all rows are shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -120,9 +120,7 @@ def _confirm_batches(batches):
         for a, text_a, text_b in rows:
             if a != known_id:
                 known, known_id = shingle_hashes(_words(text_a), cache, rolling), a
-            other = shingle_hashes(_words(text_b), cache, rolling)
-            both = len(np.intersect1d(known, other, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(known) + len(other) - both))
+            keep.append(_linked(known, shingle_hashes(_words(text_b), cache, rolling)))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -141,15 +139,20 @@ def _few(keys):
     return F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
 
 
-def _confirmed(likely, classes, docs):
-    """The pairs whose texts reach the threshold; only texts that stand for a class in a pair are joined to them."""
-    likely = materialise(likely)
-    nodes = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
+def _single_texts(nodes, classes, docs):
+    """(node, text) of the classes `nodes`; texts of other classes are not moved."""
     wanted = materialise(nodes.join(classes.select("node", "doc_id", "t1", "t2", "copies"), "node"))
     keyed = texts(docs).filter("doc_id is not null and text is not null").select("*", *_text_keys(F.col("text")))
     full = materialise(keyed.join(_few(wanted), ["doc_id", "t1", "t2"]).select("node", "copies", "text"))
     # A row that occurs again would give its text again.
-    full = full.filter("copies = 1").union(full.filter("copies > 1").dropDuplicates(["node"]))
+    return full.filter("copies = 1").union(full.filter("copies > 1").dropDuplicates(["node"]))
+
+
+def _confirmed(likely, classes, docs):
+    """The pairs whose texts reach the threshold; only texts that stand for a class in a pair are joined to them."""
+    likely = materialise(likely)
+    nodes = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
+    full = _single_texts(nodes, classes, docs)
     with_texts = (
         likely.join(full.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         .join(full.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -157,20 +160,54 @@ def _confirmed(likely, classes, docs):
     return materialise(with_texts.mapInArrow(_confirm_batches, "a long, b long"))
 
 
+def _set_batches(batches):
+    """(node, shingles): sorted distinct hashes of each text's shingles."""
+    cache, rolling = WordHashes(), RollingHash()
+    for batch in batches:
+        sets = [shingle_hashes(_words(t), cache, rolling) for t in batch.column("text").to_pylist()]
+        offsets = pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32))
+        values = pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(offsets, values)], names=["node", "shingles"])
+
+
+class _Forest:
+    """Components that links have joined so far."""
+
+    def __init__(self, labels):
+        self.root = {label: label for label in labels}
+
+    def find(self, x):
+        while self.root[x] != x:
+            self.root[x] = x = self.root[self.root[x]]
+        return x
+
+    def join(self, a, b):
+        self.root[self.find(a)] = self.find(b)
+
+
+def _linked(left, right):
+    """Whether two shingle sets reach the threshold, in whole numbers."""
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * both >= PERCENT * (len(left) + len(right) - both)
+
+
 def _tile(group):
-    """Pairs of two tiles of a bucket, of different components, whose registers make the threshold possible.
+    """Links between the components in two tiles of a bucket: one per pair of components that it joins, so no more rows
+    than members, however many pairs reach the threshold.
 
     Only sizes that allow it meet (the smaller set has three quarters of the larger at least), and a pair is judged
-    in the first band that puts it into one bucket, so it comes once.
+    in the first band that puts it into one bucket. Registers rule pairs out; of the others, the likeliest first, those
+    whose components are not joined yet are compared by their whole shingle sets.
     """
     group = group.sort_values("n_shingles", kind="stable")
     bands = np.ascontiguousarray(np.stack(group["bands"].to_numpy()), np.int64)
     sketch = bands.view(np.uint16)
     used = (sketch > 0).astype(np.float32)
     ids, size, component = (group[c].to_numpy(np.int64) for c in ("node", "n_shingles", "component"))
+    sets = [np.asarray(s, np.int64).view(np.uint64) for s in group["shingles"]]
     band, i, j = (int(group[c].iloc[0]) for c in ("band", "i", "j"))
     first, second = (np.flatnonzero(group["tile"].to_numpy() == t) for t in (i, j))
-    out = []
+    forest, out = _Forest(component.tolist()), []
     for at in range(0, len(first), 64):
         x = first[at : at + 64]
         y = second[(100 * size[second] >= PERCENT * size[x[0]]) & (PERCENT * size[second] <= 100 * size[x[-1]])]
@@ -182,20 +219,26 @@ def _tile(group):
         filled = used[x].sum(1)[:, None] + used[y].sum(1)[None, :] - used[x] @ used[y].T
         n, m = size[x][:, None].astype(float), size[y][None, :].astype(float)
         chance = 0.7213 * n * m / (n + m) ** 2 / 2**MANTISSA_BITS
-        near = (same / filled - chance) / (1 - chance) >= PERCENT / 100 - ESTIMATE_SLACK
+        likeness = (same / filled - chance) / (1 - chance)
+        near = likeness >= PERCENT / 100 - ESTIMATE_SLACK
         near &= component[x][:, None] != component[y][None, :]
         if i == j:
             near &= x[:, None] < y[None, :]
         a, b = np.nonzero(near)
-        a, b = x[a], y[b]
+        order = np.argsort(-likeness[a, b], kind="stable")
+        a, b = x[a[order]], y[b[order]]
         new = ~((bands[a, :band] == bands[b, :band]) & (bands[a, :band] != 0)).any(axis=1)
-        out.append((np.minimum(ids[a[new]], ids[b[new]]), np.maximum(ids[a[new]], ids[b[new]])))
-    a, b = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 2
-    return pd.DataFrame({"a": a, "b": b})
+        for p, q in zip(a[new].tolist(), b[new].tolist(), strict=True):
+            if forest.find(component[p]) != forest.find(component[q]) and _linked(sets[p], sets[q]):
+                forest.join(component[p], component[q])
+                out.append((p, q))
+    a, b = (ids[list(c)] for c in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 2
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-def _across(members, found, reps):
-    """Likely pairs of different components in the buckets that hold several, beyond those with the hub."""
+def _across(members, found, reps, classes, docs):
+    """Pairs of different components in the buckets that hold several, beyond those with the hub: all likely ones of
+    small buckets, and of large ones as many as it takes to join what belongs together."""
     parts = members.join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
@@ -208,15 +251,18 @@ def _across(members, found, reps):
     left = small.select("band", "key", F.col("node").alias("a"), F.col("component").alias("ca"))
     right = small.select("band", "key", F.col("node").alias("b"), F.col("component").alias("cb"))
     pairs = left.join(right, ["band", "key"]).filter("a < b and ca <> cb").select("a", "b").distinct()
+    crowded = open_rows.filter(F.col("n") > SMALL)
+    sets = _single_texts(crowded.select("node").distinct(), classes, docs).mapInArrow(_set_batches, "node long, shingles array<long>")
+    weight = crowded.join(reps.select("node", "n_shingles"), "node").groupBy("band", "key").agg(F.sum("n_shingles").alias("weight"))
     large = (
-        open_rows.filter(F.col("n") > SMALL).join(reps, "node")
-        .withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
+        crowded.join(weight, ["band", "key"])
+        .withColumn("tiles", F.ceil(F.col("weight") / TILE_SHINGLES).cast("int"))
         .withColumn("tile", F.expr("cast(pmod(xxhash64(node, 'tile'), tiles) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
         .select(
-            "band", "key", "node", "component", "n_shingles", "bands", "tile",
-            F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
+            "band", "key", "node", "component", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
         )
+        .join(reps, "node").join(sets, "node")
     )
     tiled = large.groupBy("band", "key", "i", "j").applyInPandas(_tile, "a long, b long")
     return _likely(pairs, reps).union(tiled).distinct()
@@ -245,7 +291,7 @@ def _judged(docs):
     stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = _confirmed(_likely(stars, reps), classes, docs)
     found = materialise(components(links))
-    more = _confirmed(_across(members, found, reps), classes, docs)
+    more = _confirmed(_across(members, found, reps, classes, docs), classes, docs)
     final = found
     if not more.isEmpty():
         final = materialise(components(links.union(more)))
@@ -269,8 +315,9 @@ def near_duplicates(docs):
     Documents of one word sequence are one class, which its smallest doc_id stands for. The representatives'
     HyperMinHash registers form 32 bands of four; a band's members are first compared with its smallest doc_id
     only, which joins a group of near copies in linear work. In buckets that still hold two components, pairs of
-    different components are then compared by their registers, in tiles that emit likely pairs alone, so no link is
-    lost to the shortcut.
+    different components are then compared: in small buckets all likely ones, in large ones in tiles that compare by
+    registers, then by shingles, and emit one link per two components joined, so that the rows grow with the members and
+    no component is lost to the shortcut.
     Pairs are estimated from the registers (chance collisions taken off) and confirmed on the full sets. A pair at
     the threshold shares no band with a chance of (1 - 0.75^4)^32 = 5e-6.
 
