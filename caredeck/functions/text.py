@@ -42,8 +42,9 @@ def _fold(term):
     return " ".join(unicodedata.normalize("NFKC", term.translate(table).lower()).split())
 
 
-# Words, and between them runs of whatever is neither word nor blank: such a run keeps its neighbours apart.
-TOKENS = rf"{WORD_CHARS}+|[^\p{{L}}\p{{N}}_ ]+"
+# What is neither word nor blank keeps its neighbours apart; for ASCII texts that is a plain set of characters.
+APART = r"[^\p{L}\p{N}_ ]+"
+ASCII_APART = "".join(chr(c) for c in range(128) if not chr(c).isalnum() and chr(c) not in "_ ")
 
 
 def _plain_words(plain):
@@ -54,6 +55,13 @@ def _plain_words(plain):
     return words
 
 
+def _parted(text):
+    """Words of a normalised text, with an empty or odd token wherever two words are not parted by one blank alone."""
+    mark = F.lit(" \n ")
+    simple = F.replace(F.translate(text, ASCII_APART, "\n" * len(ASCII_APART)), F.lit("\n"), mark)
+    return F.split(F.when(text.rlike(r"[^\x00-\x7F]"), F.regexp_replace(text, F.lit(APART), mark)).otherwise(simple), " ")
+
+
 def _let(value, body):
     """`body` of a value that is computed once per row, however often `body` refers to it."""
     return F.transform(F.array(value), body)[0]
@@ -68,19 +76,24 @@ def find_phrases(text, *families):
     """
     plain = {_fold(term) for terms in families for term in terms}
     words = {p: w for p in sorted(plain) if (w := _plain_words(p))}
-    lengths = sorted({len(w) for w in words.values()})
-    starts = sorted({w[0] for w in words.values()})
+    single = [p for p, w in words.items() if len(w) == 1]
+    longer = [p for p, w in words.items() if len(w) > 1]
+    lengths = sorted({len(words[p]) for p in longer})
+    starts = sorted({words[p][0] for p in longer})
 
-    def phrases_at(tokens, at):
+    def runs_at(tokens, at):
         runs = [F.when(at + n - 1 <= F.size(tokens), F.array_join(F.slice(tokens, at, n), " ")) for n in lengths]
         return F.array(*runs)
 
     def in_tokens(tokens):
+        found = F.filter(tokens, lambda word: word.isin(single)) if single else F.array().cast("array<string>")
+        if not longer:
+            return found
         begins = F.array_compact(F.transform(tokens, lambda word, i: F.when(word.isin(starts), i + 1)))
-        runs = F.flatten(F.transform(begins, lambda at: phrases_at(tokens, at)))
-        return F.filter(runs, lambda run: run.isin(list(words)))
+        runs = F.flatten(F.transform(begins, lambda at: runs_at(tokens, at)))
+        return F.concat(found, F.filter(runs, lambda run: run.isin(longer)))
 
-    found = _let(F.regexp_extract_all(text, F.lit(TOKENS), F.lit(0)), in_tokens) if words else F.array().cast("array<string>")
+    found = _let(_parted(text), in_tokens) if words else F.array().cast("array<string>")
     for term in sorted(plain - set(words)):
         pattern = f"(?<!{WORD_CHARS}){re.escape(term)}(?!{WORD_CHARS})"
         found = F.concat(found, F.array_repeat(F.lit(term), F.regexp_count(text, F.lit(pattern))))

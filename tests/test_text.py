@@ -1,3 +1,5 @@
+import random
+import re
 import unicodedata
 
 from hypothesis import given, settings
@@ -72,3 +74,17 @@ def test_safe_divide(spark):
     rows = spark.createDataFrame([(1, 6.0, 3.0), (2, 6.0, 0.0), (3, 6.0, None), (4, None, 2.0)], "i int, n double, d double")
     got = rows.select("i", safe_divide(F.col("n"), F.col("d"), -1.0).alias("x")).collect()
     assert [r["x"] for r in got] == [2.0, -1.0, -1.0, None]
+
+
+def test_phrases_against_plain_patterns(spark):
+    """Odd characters, accents, overlaps and phrases with punctuation: the same counts as a pattern per phrase gives."""
+    draw = random.Random(1)
+    parts = ["ab", "cd", "ef", " ", " ", ".", "-", "é", "ß", "́", "_", "1", "'"]
+    texts = [re.sub(" +", " ", "".join(draw.choice(parts) for _ in range(draw.randrange(30))).strip()) for _ in range(1500)]
+    terms = ("ab", "ab cd", "cd ef ab", "é", "ab ab", "1", "a-b", "ab.cd", "ef é", "cd_1")
+    columns = [tx.phrase_count(F.col("t"), (t,)).alias(str(i)) for i, t in enumerate(terms)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in rows.select("t", *columns, tx.phrase_count(F.col("t"), terms).alias("all"), tx.phrase_hits(F.col("t"), terms).alias("hits")).collect():
+        want = [len(re.findall(rf"(?<!\w){re.escape(t)}(?!\w)", r["t"])) for t in terms]
+        assert [r[str(i)] for i in range(len(terms))] == want and r["all"] == sum(want)
+        assert r["hits"] == [t for t, n in zip(terms, want, strict=True) if n]

@@ -92,6 +92,9 @@ def register(spark, folder):
         views = {}
         for name, sql in SPARK_VIEWS.items():
             views[name] = spark.sql(sql)
+            if name == "v_complaints":
+                # One small file of events makes one task; its complaints' texts are work for many.
+                views[name] = views[name].repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
             views[name].createOrReplaceTempView(name)
         views |= {name: spark.table(name) for name in ("conversations", "documents")}
         _registered[key] = views
