@@ -246,23 +246,26 @@ def _across(members, found, reps, classes, docs):
         parts.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
         .filter("lo < hi").select("band", "key", "n")
     )
-    open_rows = materialise(parts.join(split, ["band", "key"]).filter("node <> hub").select("band", "key", "node", "component", "n"))
+    open_rows = materialise(parts.join(split, ["band", "key"]).filter("node <> hub").select("band", "key", "node", "n_shingles", "component", "n"))
     small = open_rows.filter(F.col("n") <= SMALL)
     left = small.select("band", "key", F.col("node").alias("a"), F.col("component").alias("ca"))
     right = small.select("band", "key", F.col("node").alias("b"), F.col("component").alias("cb"))
     pairs = left.join(right, ["band", "key"]).filter("a < b and ca <> cb").select("a", "b").distinct()
     crowded = open_rows.filter(F.col("n") > SMALL)
     sets = _single_texts(crowded.select("node").distinct(), classes, docs).mapInArrow(_set_batches, "node long, shingles array<long>")
-    weight = crowded.join(reps.select("node", "n_shingles"), "node").groupBy("band", "key").agg(F.sum("n_shingles").alias("weight"))
+    # Registers and shingles meet once per class, not once per band.
+    wide = materialise(sets.join(reps.select("node", "bands"), "node"))
+    weight = crowded.groupBy("band", "key").agg(F.sum("n_shingles").alias("weight"))
     large = (
         crowded.join(weight, ["band", "key"])
         .withColumn("tiles", F.ceil(F.col("weight") / TILE_SHINGLES).cast("int"))
         .withColumn("tile", F.expr("cast(pmod(xxhash64(node, 'tile'), tiles) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
         .select(
-            "band", "key", "node", "component", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
+            "band", "key", "node", "n_shingles", "component", "tile",
+            F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
         )
-        .join(reps, "node").join(sets, "node")
+        .join(wide, "node")
     )
     tiled = large.groupBy("band", "key", "i", "j").applyInPandas(_tile, "a long, b long")
     return _likely(pairs, reps).union(tiled).distinct()
@@ -285,7 +288,7 @@ def _judged(docs):
     classes = materialise(grouped.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("node", F.monotonically_increasing_id()))
     reps = classes.select("node", "n_shingles", "bands")
 
-    bands = reps.select("node", F.posexplode("bands").alias("band", "key")).filter("key <> 0")
+    bands = reps.select("node", "n_shingles", F.posexplode("bands").alias("band", "key")).filter("key <> 0")
     shared = bands.groupBy("band", "key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
     members = materialise(bands.join(shared.drop("last"), ["band", "key"]))
     stars = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
