@@ -58,8 +58,8 @@ def customer_months(complaints):
     )
 
 
-def time_split(table, horizon_month=None):
-    """Add `split` (train, validation, test) by month; the last two months are dropped.
+def time_split(table, horizon_month=None, unlabelled=None):
+    """Add `split` (train, validation, test) by month; the last two months are dropped, or kept as split `unlabelled`.
 
     The label of the last two months is censored, and so is that of any month after
     `horizon_month` - 2 if the last month of spending is given.
@@ -85,9 +85,7 @@ def time_split(table, horizon_month=None):
         .otherwise(F.raise_error(F.lit("fewer than three usable months for a split by time")))
         .alias("last")
     ).scalar()
-    return table.withColumn(
-        "split",
-        F.when(month <= bounds["train"], "train")
-        .when(month <= bounds["validation"], "validation")
-        .when(month <= bounds["test"], "test"),
-    ).where(F.col("split").isNotNull())
+    split = F.when(month <= bounds["train"], "train").when(month <= bounds["validation"], "validation").when(month <= bounds["test"], "test")
+    if unlabelled is not None:
+        return table.withColumn("split", F.coalesce(split, F.lit(unlabelled)))
+    return table.withColumn("split", split).where(F.col("split").isNotNull())

@@ -1,4 +1,4 @@
-"""The three jobs: features, training, retrieval evaluation. Each reads and writes tables.
+"""The jobs: features, training, scoring, retrieval evaluation, replies. Each reads and writes tables.
 
     spark-submit --py-files caredeck.zip run_job.py features --raw ... --processed ... --out ...
 """
@@ -8,6 +8,7 @@ import argparse
 from pyspark.sql import functions as F
 
 from ..operators import (
+    completions,
     customer_month,
     findings,
     friction,
@@ -23,7 +24,7 @@ from ..operators import (
     signals,
 )
 from ..session import build_session
-from ..sources.readers import load_or_build, read_table
+from ..sources.readers import exists, load_or_build, load_processed, read_table
 from ..sources.sinks import save_table
 from ..storage import discard_scratch, materialise
 from .features import build_features
@@ -138,13 +139,53 @@ def training_job(spark, processed, out, model_path):
         outputs[f"retention_confusion_matrix_top5_{split}"] = confusion.where(F.col("split") == split).drop("split")
     for name, frame in outputs.items():
         save_table(frame, f"{out}/tables/{name}.csv")
+    precision = best_rows.where("split = 'test'").select("precision_top_5pct").scalar()
+    save_table(headline(spark, processed, out, features, precision), f"{out}/tables/kpi_strip.csv")
     return best
 
 
+def headline(spark, processed, out, features, precision):
+    """The strip of key figures, with the chosen model's precision on the test months and the retrieval job's hit rate, if measured."""
+    quality, hit = f"{out}/tables/rag_retrieval_metrics.csv", F.lit(None).cast("double")
+    if exists(spark, quality):
+        hit = spark.read.csv(quality, header=True, inferSchema=True).select(F.col("hit_at_3").cast("double")).scalar()
+    customer = load_processed(spark, processed, HINT).customer
+    bills = read_table(spark, f"{processed}/spending_bill_shock.parquet", HINT)
+    return rollups.kpi_strip(customer, bills, features, precision, hit)
+
+
+def scoring_job(spark, processed, out, model_path):
+    """All customer-months scored by the saved model: probability, percentile, and the split they belong to."""
+    months = customer_month.time_split(read_table(spark, f"{processed}/{MONTHS}", "run the training job first"), unlabelled="unlabelled")
+    scored = models.predict(models.load_model(model_path), months)
+    save_table(scored, f"{out}/scores/customer_month_scores.parquet")
+
+
+def replies_job(spark, processed, out, ledger, nfkc=True):
+    """Prompts for every complaint, requests for those without a completion, and replies from the completions there are.
+
+    `ledger`/completions holds what came back: (request_id, text, error) as JSON lines, any number of files. Each run
+    writes `ledger`/requests, the requests still to be answered, and the replies as they are by then.
+    """
+    features = read_table(spark, f"{processed}/{FEATURES}", HINT)
+    index = knowledge.build_index(load_processed(spark, processed, HINT).reference, nfkc)
+    queries = features.withColumn("query", retrieval.complaint_query(features.columns, nfkc))
+    hits = retrieval.retrieve(index, queries, 3, key=KEY, nfkc=nfkc)
+    answered = materialise(queries.join(retrieval.with_documents(hits, index, KEY), KEY, "left"))
+    prompts = materialise(completions.with_request_ids(replies.prompts(answered)).select(KEY, "request_id", "messages"))
+    came = f"{ledger}/completions"
+    schema = "request_id string, text string, error string"
+    back = spark.read.schema(schema).option("mode", "FAILFAST").json(came) if exists(spark, came) else spark.createDataFrame([], schema)
+    save_table(prompts, f"{ledger}/prompts.parquet")
+    save_table(completions.missing_requests(prompts, back), f"{ledger}/requests.json")
+    guarded = replies.citation_guard(answered, completions.with_completions(prompts, back, KEY), KEY)
+    save_table(guarded.drop("retrieved_documents", "query"), f"{out}/replies/complaint_replies.parquet")
+
+
 def retrieval_job(spark, processed, out, sample_size=None, nfkc=True):
     """Retrieval quality and reply quality on written features."""
     features = read_table(spark, f"{processed}/{FEATURES}", HINT)
-    index = knowledge.build_index(read_table(spark, f"{processed}/reference_clean.parquet", HINT), nfkc)
+    index = knowledge.build_index(load_processed(spark, processed, HINT).reference, nfkc)
     evaluated = materialise(retrieval.evaluate_retrieval(index, features, KEY, nfkc=nfkc))
     save_table(retrieval.retrieval_metrics(evaluated), f"{out}/tables/rag_retrieval_metrics.csv")
     sample = replies.head_rows(features, sample_size, [KEY])
@@ -160,11 +201,12 @@ def retrieval_job(spark, processed, out, sample_size=None, nfkc=True):
 
 def main():
     parser = argparse.ArgumentParser()
-    parser.add_argument("job", choices=("features", "training", "retrieval"))
+    parser.add_argument("job", choices=("features", "training", "scoring", "retrieval", "replies"))
     parser.add_argument("--raw", help="folder of the raw JSON files")
     parser.add_argument("--processed", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--model", help="folder of the saved model")
+    parser.add_argument("--ledger", help="folder of prompts, requests and completions")
     parser.add_argument("--sample-size", type=int, default=None)
     parser.add_argument("--suffix", default=".json", help=".json or .json.gz")
     parser.add_argument("--rebuild", action="store_true")
@@ -187,5 +229,9 @@ def _run(spark, args):
         features_job(spark, raw, args.processed, args.out, args.rebuild, not args.jvm_text)
     elif args.job == "training":
         training_job(spark, args.processed, args.out, args.model)
+    elif args.job == "scoring":
+        scoring_job(spark, args.processed, args.out, args.model)
+    elif args.job == "replies":
+        replies_job(spark, args.processed, args.out, args.ledger, not args.jvm_text)
     else:
         retrieval_job(spark, args.processed, args.out, args.sample_size, not args.jvm_text)

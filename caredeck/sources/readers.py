@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from ..operators.conversations import flatten_complaints
 from ..schemas import RAW, REFERENCE, validate_columns
 from .json_objects import object_texts, parse_objects
-from .sinks import save_table
+from .publish import publish, published
 
 # Names of the processed layer's tables.
 PROCESSED = {
@@ -70,18 +70,25 @@ class CareTables:
 
 
 def load_or_build(spark, raw, processed, rebuild=False, pretty=False):
-    """The processed tables, read if all four are complete, else built from `raw` and written.
+    """The processed tables: the newest published set, else built from `raw` and published as one.
 
     `raw` maps customer, spending, complaints and reference to paths; `pretty` is read_reference's.
     """
-    paths = {name: f"{processed}/{file}" for name, file in PROCESSED.items()}
-    if rebuild or not all(exists(spark, f"{path}/_SUCCESS") for path in paths.values()):
+    paths = None if rebuild else published(spark, processed)
+    if paths is None:
         built = {name: read_json_lines(spark, raw[name], name) for name in ("customer", "spending", "complaints")}
         built["complaints"] = flatten_complaints(validate_columns(built["complaints"], "complaints"))
         built["reference"] = validate_columns(read_reference(spark, raw["reference"], pretty), "reference")
-        for name, df in built.items():
-            save_table(df, paths[name])
-    return CareTables(**{name: spark.read.parquet(path) for name, path in paths.items()})
+        paths = publish(spark, processed, built, PROCESSED)
+    return CareTables(**{name: spark.read.parquet(paths[name]) for name in PROCESSED})
+
+
+def load_processed(spark, processed, hint):
+    """The newest published set; raises FileNotFoundError with `hint` if there is none."""
+    paths = published(spark, processed)
+    if paths is None:
+        raise FileNotFoundError(f"{processed} holds no published tables: {hint}")
+    return CareTables(**{name: spark.read.parquet(paths[name]) for name in PROCESSED})
 
 
 def read_table(spark, path, hint):

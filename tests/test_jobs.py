@@ -5,11 +5,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from caredeck.operators import models
+from caredeck.operators import completions, models
 from caredeck.plans import jobs
+from caredeck.sources.publish import prune, published
 from caredeck.sources.readers import load_or_build, read_json_lines, read_reference, read_table
 from caredeck.sources.sinks import save_table
 from caredeck.streaming.incremental import append_signals
+from caredeck.streaming.scoring import score_arrivals
 
 
 def write(path, text):
@@ -121,9 +123,94 @@ def test_jobs_end_to_end(spark, tmp_path, monkeypatch):
     predicted = models.predict(models.load_model(str(tmp_path / "model")), months)
     assert predicted.where("risk_probability between 0 and 1 and risk_percentile between 0 and 1").count() == months.count()
 
+    strip = spark.read.csv(f"{out}/tables/kpi_strip.csv", header=True, inferSchema=True).first()
+    chosen = metrics.where((F.col("model") == best) & (F.col("split") == "test")).first()
+    assert strip["customers"] == 60 and strip["precision_top_5pct"] == pytest.approx(chosen["precision_top_5pct"])
+    assert strip["hit_at_3"] is not None
+
+    jobs.scoring_job(spark, processed, out, str(tmp_path / "model"))
+    scores = spark.read.parquet(f"{out}/scores/customer_month_scores.parquet")
+    assert scores.count() == months.count() and {r["split"] for r in scores.select("split").distinct().collect()} == {"train", "validation", "test", "unlabelled"}
+    again = {(r["customer_id"], r["billing_year_month"]): r["risk_probability"] for r in predicted.collect()}
+    for r in scores.collect():
+        assert r["risk_probability"] == pytest.approx(again[r["customer_id"], r["billing_year_month"]])
+
     jobs.retrieval_job(spark, processed, out, sample_size=20)
     assert spark.read.csv(f"{out}/tables/rag_eval_sample.csv", header=True, multiLine=True).count() == 20
 
+    ledger = tmp_path / "ledger"
+    jobs.replies_job(spark, processed, out, str(ledger))
+    prompts, asked = spark.read.parquet(f"{ledger}/prompts.parquet"), spark.read.json(f"{ledger}/requests.json")
+    assert prompts.count() == complaints and asked.count() == prompts.select("request_id").distinct().count() < complaints
+    ids = sorted(r["request_id"] for r in asked.select("request_id").collect())
+    (ledger / "completions").mkdir()
+    back = [{"request_id": ids[0], "text": " ".join(f"k{i}" for i in range(6))}, {"request_id": ids[1], "error": "Timeout"}, {"request_id": ids[2], "text": "?"}]
+    write(ledger / "completions" / "a.json", "\n".join(map(json.dumps, back)))
+    jobs.replies_job(spark, processed, out, str(ledger))
+    left = {r["request_id"] for r in spark.read.json(f"{ledger}/requests.json").collect()}
+    assert left == set(ids) - {ids[0], ids[2]}
+    prompts = spark.read.parquet(f"{ledger}/prompts.parquet")
+    written = spark.read.parquet(f"{out}/replies/complaint_replies.parquet").join(prompts.select(jobs.KEY, "request_id"), jobs.KEY)
+    status = {(r["request_id"], r["llm_status"]) for r in written.select("request_id", "llm_status").distinct().collect()}
+    assert {s for i, s in status if i == ids[0]} <= {"llm_generated", "template_fallback"}
+    assert {s for i, s in status if i == ids[1]} <= {"llm_error_template_fallback:Timeout", "template_fallback"}
+    assert written.count() == complaints
+
+
+def test_a_rebuild_that_dies_leaves_the_old_set(spark, tmp_path, monkeypatch):
+    raw, _ = make_raw(tmp_path, customers=5)
+    processed = str(tmp_path / "processed")
+    before = load_or_build(spark, raw, processed)
+    rows = {name: getattr(before, name).count() for name in raw}
+    (tmp_path / "spending.json").write_text('{"customer_id": "new", "billing_year_month": "2024-01", "bill_amount": 1.0, "data_usage": 1.0}\n')
+    (tmp_path / "reference.json").write_text('{"document_id": "1", "content"')  # fails while the last table is written
+    with pytest.raises(Exception, match="(?i)expecting|delimiter|json"):
+        load_or_build(spark, raw, processed, rebuild=True)
+    after = load_or_build(spark, {name: "/nowhere" for name in raw}, processed)
+    assert {name: getattr(after, name).count() for name in raw} == rows
+    (tmp_path / "reference.json").write_text('{"document_id": "1", "content": "x"}')
+    rebuilt = load_or_build(spark, raw, processed, rebuild=True)
+    assert rebuilt.spending.count() == 1 and rebuilt.reference.count() == 1
+    assert before.spending.count() == rows["spending"]  # an open reader keeps its set
+    prune(spark, processed, keep=1)
+    assert load_or_build(spark, raw, processed).spending.count() == 1
+    assert published(spark, processed) is not None and published(spark, str(tmp_path / "none")) is None
+
+
+def test_requests_are_asked_once_until_answered(spark):
+    prompts = spark.createDataFrame(
+        [(i, [("system", "s"), ("user", f"q{i % 3}")]) for i in range(30)] + [(None, [("system", "s"), ("user", "q0")])],
+        "k int, messages array<struct<role:string,content:string>>",
+    )
+    named = completions.with_request_ids(prompts)
+    first, second, third = (named.where(F.col("k") == i).first()["request_id"] for i in range(3))
+    back = spark.createDataFrame(
+        [(first, "yes", None), (first, None, "Late"), (second, None, "Timeout"), (None, "lost", None)], "request_id string, text string, error string"
+    )
+    assert {r["request_id"] for r in completions.missing_requests(named, back).collect()} == {second, third}
+    got = completions.with_completions(named, back, "k").collect()
+    assert len(got) == 21 and {(r["text"], r["error"]) for r in got} == {("yes", None), (None, "Timeout")}
+    assert completions.missing_requests(named, back.limit(0)).count() == 3
+
+
+def test_arrivals_are_scored_once(spark, tmp_path):
+    """A batch that is run again replaces its own folder; rows keep their probability."""
+    names = [*models.NUMERIC, *models.CATEGORICAL, "no_billable_activity_next_2m"]
+    rows = [tuple([float(i + j) for j in range(len(models.NUMERIC))] + ["ab"[i % 2]] * len(models.CATEGORICAL) + [i % 2]) for i in range(12)]
+    schema = ", ".join([f"{c} double" for c in models.NUMERIC] + [f"{c} string" for c in models.CATEGORICAL] + [f"{names[-1]} int"])
+    table = spark.createDataFrame(rows, schema)
+    model = models.fit_models(table, ["logistic_regression"])["logistic_regression"]
+    models.save_model(model, str(tmp_path / "model"))
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    table.limit(5).write.parquet(folder)
+    args = (spark, folder, table.schema, str(tmp_path / "model"), out, checkpoint)
+    score_arrivals(*args)
+    table.limit(7).write.mode("append").parquet(folder)
+    score_arrivals(*args)
+    score_arrivals(*args)
+    scored = spark.read.parquet(out)
+    assert scored.count() == 12 and scored.where("risk_probability between 0 and 1").count() == 12
+
 
 def test_logistic_preprocessing(spark):
     """Median filling, population deviation, and all-zero slots for an unseen category."""

@@ -452,10 +452,10 @@ def feature_importance(spark, folder):
 
 
 def score_batch(spark, folder):
-    test = _months(spark, folder).where("split = 'test'")
-    return models.top_risk(models.predict(_best(spark, folder), test)).select(
-        "customer_id", "billing_year_month", "risk_probability", "risk_percentile"
-    )
+    """Every customer-month scored, training months and those without a label included; `split` tells which is which."""
+    months = customer_month.time_split(customer_month.customer_months(_features(spark, folder)), unlabelled="unlabelled")
+    scored = models.predict(_best(spark, folder), months)
+    return scored.select("customer_id", "billing_year_month", "split", "risk_probability", "risk_percentile")
 
 
 # -- knowledge base and replies
