@@ -3,6 +3,7 @@
 import re
 
 from caredeck.functions.lexicon import CATEGORY_SYNONYMS, TELECOM_TR
+from caredeck.operators import findings, picks
 from caredeck.operators.replies import TEXTS
 
 from .queries import COUNTED
@@ -378,6 +379,50 @@ def fill(template, *values):
     return "(" + out + ")"
 
 
+# -- representative rows: each case takes an unused row, rows of new categories first
+
+
+def pick_sql(i):
+    case = picks.CASES[i]
+    used = " union all ".join(f"select complaint_id, problem_category from pick{j}" for j in range(i)) or "select 0, '' where false"
+    order = "friction_score_v3, business_risk_score, complaint_id" if case.calm_first else "-business_risk_score, complaint_id"
+    return f"""
+    with used(id, category) as ({used})
+    select * from (select *, 0 pool from feat where {case.condition} union all select *, 1 from feat)
+    where complaint_id not in (select id from used)
+    order by pool, (problem_category in (select category from used))::int, {order} limit 1"""
+
+
+for _i in range(len(picks.CASES)):
+    STAGES[f"pick{_i}"] = pick_sql(_i)
+STAGES["picked"] = " union all ".join(
+    f"select *, {i} n, {quote(c.name)} case_name, {quote(c.use)} business_use_case, {str(c.calm_first).lower()} calm from pick{i}"
+    for i, c in enumerate(picks.CASES)
+)
+STAGES["qs_p"] = f"""
+    select *, {norm('query')} qn from (select complaint_id query_id, concat_ws(' ', array_to_string({SYNONYMS.format(c='problem_category')}, ' '),
+      problem_category, problem_subcategory, first_customer_message, customer_text) query
+      from (select complaint_id from picked) join v_complaints using (complaint_id))"""
+for _name in ("qw", "cos", "cpairs", "top5"):
+    STAGES[f"{_name}_p"] = re.sub(r"\b(qs|qw|cos|cpairs|top5)\b", r"\1_p", STAGES[_name])
+STAGES["shown"] = """
+    select t.query_id complaint_id, list(t.document_id order by rnk) ids, max(score) filter (where rnk=1) confidence,
+      sum(length(k.content)) content_chars
+    from top5_p t join kb k using (document_id) where rnk <= 3 group by 1"""
+
+
+def share_text(value):
+    return f"printf('%.1f%%', 100 * {value})"
+
+
+def distribution_text(column, levels):
+    """{'level': count, ...}, the most frequent first."""
+    order = "case v " + " ".join(f"when {quote(v)} then {i}" for i, v in enumerate(levels)) + " end"
+    entry = "chr(39) || v || chr(39) || ': ' || c"
+    return f"""(select '{{' || string_agg({entry}, ', ' order by c desc, {order}) || '}}'
+      from (select {column} v, count(*) c from feat where {column} in {listed(levels)} group by 1))"""
+
+
 WEAK = "confidence < 0.05"
 REPLY = f"case when {WEAK} then {quote(TEXTS['no_source_reply'])} else {fill('reply', 'array_to_string(ids, chr(44) || chr(32))')} end"
 STAGES["rep"] = f"""
@@ -534,6 +579,43 @@ QUERIES = {
         count(distinct customer_id) filter (where {AT_RISK}) high_value_at_risk_customers,
         (select precision_top_5pct from (select {topk_columns()} from rk)) precision_top_5pct,
         (select round(avg(hit_at_3),6) from ev) hit_at_3 from feat""",
+    "findings": f"""
+        select topic, finding from (select count(*) n, avg((friction_level_v3='high')::int) tense, avg((business_risk_level='high')::int) high,
+            count(distinct customer_id) filter (where {AT_RISK}) people,
+            coalesce(sum(total_revenue) filter (where {AT_RISK}), 0) revenue from feat) t, lateral (values
+          ('Konumlandırma', {quote(findings.POSITION)}),
+          ('Veri ölçeği', format('{{:,}}', (select count(*) from v_customer)) || ' müşteri, ' ||
+            format('{{:,}}', (select count(*) from v_spending)) || ' harcama satırı ve ' || format('{{:,}}', n) || ' şikâyet satırı işlendi.'),
+          ('Şikâyet odağı', 'En büyük şikâyet kategorisi: ' ||
+            (select problem_category from feat group by 1 order by count(*) desc, 1 limit 1) || '.'),
+          ('Friction', 'Yüksek friction oranı ' || {share_text('tense')} || '; bu sinyal no-repeat handoff ve agent copilot için kullanılır.'),
+          ('Risk ve öncelik', 'Yüksek iş riski oranı ' || {share_text('high')} || '. Priority dağılımı: ' ||
+            {distribution_text('priority_level', PRIORITIES)} || '. Risk dağılımı: ' ||
+            {distribution_text('business_risk_level', ('high', 'medium', 'low'))} || '.'),
+          ('Bill shock', 'Bill shock oranı ' || (select {share_text('avg(bill_shock_flag)')} from bills) ||
+            '. Bu sinyal bağlamsal risk göstergesidir; nedensellik iddiası yapılmaz.'),
+          ('High-value koruma', 'Yüksek değerli ve yüksek riskli müşteri sayısı ' || format('{{:,}}', people) ||
+            '; tarihsel gelir toplamı ' || format('{{:,.2f}}', revenue) || '.'),
+          ('RAG', 'TF-IDF/BM25 uyumlu retrieval V1 hazır. Hit@3 durumu: ' || (select {share_text('avg(hit_at_3)')} from ev) || '.'),
+          ('Sınırlılık', {quote(findings.LIMITS)})
+        ) v(topic, finding)""",
+    "picked_rows": f"""
+        select case_name, case_name example_name, business_use_case,
+          case pool when 0 then {quote(picks.EXACT)} else {quote(picks.FALLBACK)} end
+            || case when calm and {WEAK} then '; low_rag_confidence' else '' end fallback_reason,
+          customer_id, billing_year_month, lifecycle_status_v2, customer_segment, problem_category detected_category,
+          problem_subcategory detected_subcategory, problem_subcategory probable_intent, null::double intent_confidence,
+          friction_score_v3, friction_level_v3, business_risk_score, business_risk_level, priority_level,
+          array_to_string(list_filter([{', '.join(f"case when {c}=1 then '{n}' end" for n, c in SIGNAL_NAMES)}],
+            lambda x: x is not null), '|') risk_signals,
+          recommended_queue, recommended_business_action, {quote(picks.WHY)} why_this_case_matters_for_retention,
+          {fill('confirm', 'problem_category', 'problem_subcategory')} confirmation_prompt,
+          {fill('summary', 'billing_year_month', 'problem_category', 'friction_level_v3', 'business_risk_level', 'priority_level')}
+            conversation_summary,
+          case when {WEAK} then {quote(TEXTS['no_source_suggestion'])} else
+            {fill('suggestion', 'array_to_string(ids, chr(44) || chr(32))')} end suggested_agent_reply,
+          array_to_string(ids, ',') document_ids, round(confidence, 6) top_score, content_chars::int content_chars
+        from picked join shown using (complaint_id)""",
     "customer_month": f"""select * exclude ({', '.join(ROUNDED)}), {r6(*ROUNDED)} from cm""",
     "time_split": "select customer_id, billing_year_month, split from spl",
     "ranking_metrics": f"select * exclude (g) from ({quality_sql('sc')})",

@@ -567,7 +567,16 @@ def reply_failures(spark, folder):
 
 
 def picked_rows(spark, folder):
-    return picks.picked_rows(_features(spark, folder), _index(spark, folder))
+    rows = picks.picked_rows(_features(spark, folder), _index(spark, folder))
+    flat = rows.withColumns(
+        {
+            "risk_signals": F.array_join("risk_signals", "|"),
+            "document_ids": F.array_join("retrieved_documents.document_id", ","),
+            "top_score": F.col("retrieved_documents")[0]["score"],
+            "content_chars": F.aggregate("retrieved_documents", F.lit(0), lambda n, d: n + F.length(d["content"])),
+        }
+    )
+    return _tidy(flat.drop("retrieved_documents"))
 
 
 QUERIES = {
