@@ -6,8 +6,9 @@ import zlib
 
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.sql import functions as F
 
-from .common import ship_package, texts
+from .common import materialise, ship_package, texts
 
 LENGTH = 1024
 OPEN_BINS = 512
@@ -16,6 +17,11 @@ CACHE_PARTS = 400_000
 #: How text is cut before merges: the fixed pattern of the public vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# Fixed value: the vocabulary's added token, which stands for itself wherever a text holds its string.
+ADDED, ADDED_ID = "<|endoftext|>", 50256
+#: Pieces that one task of the second round takes.
+SECOND_ROUND = 500_000
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
@@ -24,7 +30,7 @@ class Tokens(dict):
 
     Merges never cross a space that stands alone between two other characters, so the parts of a text between
     such spaces are encoded one by one and remembered, up to a bounded number. A text with any other spacing
-    is encoded in one go. Strings of special tokens are ordinary text.
+    is encoded in one go. The added token's string parts a text, and what lies between is encoded by itself.
     """
 
     def __init__(self, ranks_path):
@@ -46,6 +52,11 @@ class Tokens(dict):
         return value
 
     def of(self, text):
+        if ADDED in text:
+            return ADDED_ID.to_bytes(4, "little").join([self._plain(t) if t else b"" for t in text.split(ADDED)])
+        return self._plain(text)
+
+    def _plain(self, text):
         parts = text.split(" ")
         for p in parts:
             if not p or p[0].isspace() or p[-1].isspace():
@@ -87,7 +98,13 @@ class BestFit:
         return bin_id
 
 
+    def left_open(self):
+        """(bin, places filled) of the bins that are still open."""
+        return [(bin_id, self.length - space) for space, stack in enumerate(self.bins) for bin_id in stack]
+
+
 def _pack_batches(batches, ranks_path, length, open_bins):
+    """Rows of PIECES; at the end one with piece -1 per sequence still open, its offset the places filled."""
     tokens, packer = Tokens(ranks_path), BestFit(length, open_bins, TaskContext.get().partitionId() << 40)
     end = END_ID.to_bytes(4, "little")
     names = [c.split()[0] for c in PIECES.split(", ")]
@@ -101,9 +118,24 @@ def _pack_batches(batches, ranks_path, length, open_bins):
                 sequence, offset = packer.place(size)
                 rows.append((doc, piece, start, size, zlib.crc32(ids[4 * start : 4 * (start + size)]), sequence, offset))
                 start, piece = start + size, piece + 1
-        columns = zip(*rows, strict=True) if rows else [[]] * len(names)
-        kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+        yield _record(rows, names)
+    yield _record([(None, -1, 0, 0, 0, sequence, filled) for sequence, filled in packer.left_open()], names)
+
+
+def _record(rows, names):
+    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * (len(names) - 2)]
+    columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
+def _again_batches(batches, length, open_bins):
+    """Pieces as they come, each in a sequence and at a place of this round."""
+    packer = BestFit(length, open_bins, (1 << 62) + (TaskContext.get().partitionId() << 40))
+    for batch in batches:
+        places = [packer.place(size) for size in batch.column("length").to_pylist()]
+        sequence, offset = (pa.array(c, pa.int64()) for c in zip(*places, strict=True)) if places else (pa.array([], pa.int64()),) * 2
+        kept = [batch.column(n) for n in ("doc_id", "piece", "start", "length", "ids_crc32")]
+        yield pa.RecordBatch.from_arrays([*kept, sequence, offset], names=[c.split()[0] for c in PIECES.split(", ")])
 
 
 def pack(docs, ranks_path, length=LENGTH, open_bins=OPEN_BINS):
@@ -112,13 +144,23 @@ def pack(docs, ranks_path, length=LENGTH, open_bins=OPEN_BINS):
     A document is its token ids and the end id. One longer than a sequence is cut into full pieces after a shorter
     first one; any other stays whole. Every task tokenizes its rows as they come and keeps at most `open_bins`
     sequences open, in a bitset keyed by free space: a piece goes where it leaves the least room, and beyond the
-    bound the fullest sequence closes. No shuffle, no state that grows; each task leaves at most its last open
-    sequences part full. Sequence numbers hold the task's partition number, so they repeat when a task reruns on
-    the same rows.
+    bound the fullest sequence closes. No text is shuffled and no state grows. The pieces of the sequences that tasks
+    leave open at their end, `open_bins` per task at most, are packed in a second round of the same kind, the longest
+    first, SECOND_ROUND in a task. Sequence numbers hold the task's partition number, so they repeat when a task reruns
+    on the same rows.
 
     Null or empty text: the end id alone. A null doc_id stays null; repeated rows are packed once each. An empty
     table gives an empty result; other columns are ignored. `ranks_path` is the vocabulary file on every executor.
     """
     ship_package(docs.sparkSession)
     job = functools.partial(_pack_batches, ranks_path=ranks_path, length=length, open_bins=open_bins)
-    return texts(docs).mapInArrow(job, PIECES)
+    packed = materialise(texts(docs).mapInArrow(job, PIECES))
+    left_open = packed.where("piece = -1").select("sequence_id")
+    pieces = packed.where("piece >= 0")
+    loose = materialise(pieces.join(left_open, "sequence_id", "left_semi").select(pieces.columns))
+    tasks = -(-loose.count() // SECOND_ROUND) or 1
+    order = [F.desc("length"), "doc_id", "piece", "ids_crc32"]
+    placed = loose.repartition(tasks, "doc_id", "piece", "ids_crc32").sortWithinPartitions(*order)
+    again = functools.partial(_again_batches, length=length, open_bins=open_bins)
+    closed = pieces.join(left_open, "sequence_id", "left_anti").select(pieces.columns)
+    return closed.unionByName(placed.mapInArrow(again, PIECES))

@@ -1,6 +1,7 @@
 """Corpus operators on documents: edge cases and brute force."""
 
 import hashlib
+import random
 import re
 import zlib
 from itertools import combinations
@@ -206,15 +207,15 @@ def test_packing(docs):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
-    rows = best_fit.pack(docs.filter("doc_id <> 4"), RANKS).collect()
+    rows = best_fit.pack(docs, RANKS).collect()
+    assert sum(r.doc_id is None for r in rows) == 2 and sum(r.doc_id == 4 for r in rows) == 2  # rows of their own
     by_doc, by_bin = {}, {}
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append(r)
         by_bin.setdefault(r.sequence_id, []).append(r)
     for i, text in TEXTS.items():
         if i == 4:
-            continue
+            continue  # occurs twice
         ids = [*model.encode(text or "", add_special_tokens=False).ids, 2]
         pieces = sorted(by_doc[i], key=lambda r: r.piece)
         assert sum(p.length for p in pieces) == len(ids) and all(p.length == 1024 for p in pieces[1:])
@@ -228,11 +229,32 @@ def test_packing(docs):
         assert at <= 1024
 
 
-def test_tokens_at_odd_spacing():
-    tokens = Tokens(RANKS)
-    for text in ("a  b", " a b ", "a\n b", "a \nb", "it's <|endoftext|> ok", "x  y", "end.\nNew line", "a"):
-        ids = tokens.encode(text)
-        assert tokens.of(text) == b"".join(i.to_bytes(4, "little") for i in ids)
+def test_tokens_against_the_plain_tokenizer():
+    from tokenizers import Tokenizer
+
+    model, tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Tokens(RANKS)
+    odd = ("a  b", " a b ", "a\n b", "a \nb", "it's <|endoftext|> ok", "x  y", "end.\nNew line", "a", "x<|endoftext|>", "<|endoftext|><|endoftext|> y", " <|endoftext|")
+    for text in odd:
+        ids = model.encode(text, add_special_tokens=False).ids
+        assert tokens.of(text) == b"".join(i.to_bytes(4, "little") for i in ids), text
+
+
+def test_few_sequences_for_any_partitioning(spark):
+    """A second round joins what tasks leave open: the number of sequences hardly depends on the number of tasks."""
+    draw = random.Random(3)
+    made = [(i, " ".join(f"w{draw.randrange(900)}" for _ in range(int(draw.lognormvariate(4.5, 1))))) for i in range(2500)]
+    docs = spark.createDataFrame(made + made[:40], "doc_id long, text string")
+    for tasks in (1, 8, 32):
+        rows = best_fit.pack(docs.repartition(tasks), RANKS).collect()
+        by_bin = {}
+        for r in rows:
+            by_bin.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for members in by_bin.values():
+            ends = [0, *[at + n for at, n in sorted(members)]]
+            assert [at for at, _ in sorted(members)] == ends[:-1] and ends[-1] <= 1024
+        assert len(by_bin) <= 1.02 * sum(r.length for r in rows) / 1024 + 1
+        assert len({(r.doc_id, r.piece) for r in rows}) == len({i for i, _ in made}) + sum(r.piece > 0 for r in rows) - sum(
+            r.piece > 0 and r.doc_id < 40 for r in rows) // 2
 
 
 def test_best_fit_prefers_the_fullest_bin_and_closes_it_beyond_the_bound():
