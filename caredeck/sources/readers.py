@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..operators.conversations import flatten_complaints
 from ..schemas import RAW, REFERENCE, validate_columns
-from .json_objects import object_texts, parse_objects
+from .json_objects import COMPRESSED, object_texts, parse_objects
 from .publish import publish, published
 
 # Names of the processed layer's tables.
@@ -37,7 +37,14 @@ def read_json_lines(spark, path, table):
     ]
     if missing:
         raise ValueError(f"{table} lacks required columns: {missing}")
-    return spark.read.schema(RAW[table]).option("mode", "FAILFAST").json(path)
+    return _spread(spark.read.schema(RAW[table]).option("mode", "FAILFAST").json(path))
+
+
+def _spread(rows):
+    """Rows of compressed files, each of which only one task can read, dealt to as many tasks as the session shuffles to."""
+    files = rows.inputFiles()
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks) if len(files) < tasks and any(f.endswith(COMPRESSED) for f in files) else rows
 
 
 def read_reference(spark, path, pretty=False):

@@ -23,7 +23,8 @@ def test_json_lines(spark, tmp_path):
     lines = '{"customer_id": "a", "city": "x", "birth_year": 1990}\n\n{"customer_id": "b", "city": null, "birth_year": null}\n'
     assert read_json_lines(spark, write(tmp_path / "c.json", lines), "customer").count() == 2
     (tmp_path / "c.json.gz").write_bytes(gzip.compress(lines.encode()))
-    assert read_json_lines(spark, str(tmp_path / "c.json.gz"), "customer").count() == 2
+    packed = read_json_lines(spark, str(tmp_path / "c.json.gz"), "customer")
+    assert packed.count() == 2 and packed.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     with pytest.raises(Exception, match="(?i)malformed"):
         read_json_lines(spark, write(tmp_path / "bad.json", lines + "{oops\n"), "customer").collect()
     with pytest.raises(ValueError, match="birth_year"):
