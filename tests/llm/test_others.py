@@ -119,3 +119,21 @@ def test_pipeline(spark):
         assert name == "mixing" or now.count() <= docs.count()
     pieces = corpus_pipeline.STAGES[-1][1](spark, now, folder)
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in now.select("doc_id").collect()}
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Null and empty texts, repeated rows, clashing columns and no labels go through; empty tables give no rows."""
+    import corpus_pipeline
+
+    rows = [(i, t, "en", "s1", 0, "clash", "clash") for i, t in enumerate([None, "", "a few words", "a few words", "mail x.y@z.example ok"])]
+    docs = spark.createDataFrame(rows + [rows[2]], "doc_id long, text string, lang string, source string, n_chars long, taken string, kept string")
+    labels = spark.createDataFrame([], "doc_id long, quality long, toxic long")
+    for name, table in (("some", docs), ("none", docs.limit(0))):
+        folder = str(tmp_path / name)
+        table.write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        pieces = corpus_pipeline.run(spark, folder).collect()
+        if name == "none":
+            assert pieces == []
+        else:
+            assert {r.doc_id for r in pieces} >= {2, 4} and 3 not in {r.doc_id for r in pieces}
