@@ -11,6 +11,7 @@ KEYS = ("customer_id", "billing_year_month")
 PRIORITY_RANKS = {"P3 Low": 1, "P2 Medium": 2, "P1 High": 3, "P0 Critical": 4}
 
 # New column -> complaint column whose maximum it holds.
+# The columns of the customer-month table and what they are the maximum of.
 _MAXIMA = {
     "max_friction_score_v3": "friction_score_v3",
     "max_business_risk_score": "business_risk_score",

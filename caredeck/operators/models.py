@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .customer_month import TARGET, dominant
 from .ranking import quantiles, with_percentile
 
+# Names of the models' features and of the models.
 CATEGORICAL = ("dominant_problem_category", "dominant_problem_subcategory", "lifecycle_status_v2")
 NUMERIC = (
     "complaint_count", "unique_problem_category_count", "max_friction_score_v3", "max_business_risk_score",
