@@ -268,3 +268,54 @@ def test_choice_prefers_new_categories_and_says_when_it_falls_back():
     assert got[2][1] == 13 and got[2][2].startswith("transparent_fallback")
     assert got[3][1] == 11
     assert got[4][1] == 14
+
+
+@pytest.mark.parametrize("postings, scores, share", [(2_000_000, 4_000_000, 0.005), (30, 40, 0.0), (30, 40, 1.1)])
+def test_blocks_hand_on_k_documents_per_query(spark, monkeypatch, postings, scores, share):
+    """A word that all documents and queries share makes no row per pair of them, in blocks and chunks of any size."""
+    monkeypatch.setattr(retrieval, "BLOCK_POSTINGS", postings)
+    monkeypatch.setattr(retrieval, "BLOCK_SCORES", scores)
+    monkeypatch.setattr(retrieval, "DENSE_SHARE", share)
+    monkeypatch.setattr(retrieval, "BLOCK_TERMS", 30)
+    docs = [f"ortak dolgu {'ortak ' * (i % 3)}w{i % 9} x{i // 2}" for i in range(60)]
+    asked = [f"ortak w{i % 9} dolgu" for i in range(40)]
+    index, rows = bare_index(spark, [(f"d{i:02d}", d) for i, d in enumerate(docs)]), {}
+    index.postings(knowledge.BM25)
+    written = retrieval.materialise
+
+    def counted(df):
+        out = written(df)
+        if {"row", "doc_no"} <= set(out.columns):
+            rows[len(rows)] = out.count()
+        return out
+
+    monkeypatch.setattr(retrieval, "materialise", counted)
+    got = ranked(retrieval.retrieve(index, queries(spark, asked), 3, knowledge.BM25))
+    expected = []
+    for q, text in enumerate(asked):
+        found = brute_bm25(docs, text)
+        expected += [(q, f"d{i:02d}") for i in sorted(range(60), key=lambda i: (-round(found[i], 9), i))[:3]]
+    assert [g[:2] for g in got] == expected
+    assert max(rows.values()) <= 3 * len(asked)
+
+
+def test_prompts_for_every_document(spark, tmp_path):
+    """Every document asks, and documents in any language are sources."""
+    from workload import queries as registered
+
+    texts = ["fatura iade talebi", "modem sinyal kesik", "paket tarife sorusu", "fatura iade talebi yine"]
+    rows = [(i, t, "de" if i else "en", "s") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.withColumn("n_chars", F.length("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    tables = {
+        "nation": "n_nationkey long, n_name string", "customer": "c_custkey long, c_nationkey long",
+        "orders": "o_custkey long, o_orderdate date, o_totalprice double",
+        "events": "event_id long, user_id long, ts timestamp, event_type string, value double, props string",
+        "labels": "doc_id long, toxic int", "conversations": "conv_id long, turn int, role string, text string",
+    }
+    for name, schema in tables.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = registered.prompt_messages(spark, str(tmp_path)).where("role = 'user'").collect()
+    assert {r["query_id"] for r in got} == {0, 1, 2, 3}
+    assert all(f"Belge {r['query_id']}" in r["content"] for r in got)
+    assert {r["query_id"] for r in registered.citation_guard(spark, str(tmp_path)).collect()} == {0, 1, 2, 3}
