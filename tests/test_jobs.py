@@ -242,3 +242,24 @@ def test_stream_equals_batch(spark, tmp_path):
         (folder / f"{part}.json").write_text("\n".join(lines[part::2]), encoding="utf-8")
         append_signals(spark, str(folder), out, checkpoint)
     assert spark.read.parquet(out).count() == complaints
+
+
+def test_texts_do_not_move_to_their_features(spark):
+    """Signals are read off the texts before any exchange of complaints."""
+    from caredeck.plans.features import build_features
+
+    complaints = spark.createDataFrame(
+        [(1, 1, "2024-01", "billing", "a", 3, "iade istiyorum", "fatura", "iade istiyorum fatura")],
+        "complaint_id long, customer_id long, billing_year_month string, problem_category string, problem_subcategory string,"
+        " turn_count int, customer_text string, agent_text string, full_text string",
+    )
+    customer = spark.createDataFrame([(1, "x", 1990)], "customer_id long, city string, birth_year int")
+    spending = spark.createDataFrame(
+        [(1, "2024-01", 5.0, 1.0)], "customer_id long, billing_year_month string, bill_amount double, data_usage double"
+    )
+    table = build_features(customer, spending, complaints).features
+    assert table.first()["has_billing_dispute"] == 1
+    texts = ("customer_text", "agent_text", "full_text")
+    plan = table.drop(*texts)._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan.index("Join ")
+    assert "regexp_extract_all" not in plan[:joined] and "regexp_extract_all" in plan[joined:]

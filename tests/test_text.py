@@ -88,3 +88,23 @@ def test_phrases_against_plain_patterns(spark):
         want = [len(re.findall(rf"(?<!\w){re.escape(t)}(?!\w)", r["t"])) for t in terms]
         assert [r[str(i)] for i in range(len(terms))] == want and r["all"] == sum(want)
         assert r["hits"] == [t for t, n in zip(terms, want, strict=True) if n]
+
+
+def test_phrases_equal_a_pattern_each(spark):
+    """Phrases nested in one another, at any boundary, are all found, as by one pattern per phrase."""
+    families = (("a", "a b", "a b c", "b c"), ("ab", "abc", "abc a", "ç d", "c"))
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abc   .d_é\U0001d41a", k=30)) for _ in range(300)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", *[tx.found_count(tx.find_phrases(F.col("t"), *families), f).alias(f"n{i}") for i, f in enumerate(families)]
+    )
+    for row in rows.collect():
+        for i, family in enumerate(families):
+            plain = {tx._fold(p) for p in family}
+            assert row[f"n{i}"] == sum(len(re.findall(rf"(?<!\w){re.escape(p)}(?!\w)", row["t"])) for p in plain), (row["t"], family)
+
+
+def test_phrases_are_looked_up_without_cutting_texts(spark):
+    """One pattern over the text; no array of its words is built."""
+    plan = spark.createDataFrame([("x",)], "t string").select(tx.find_phrases(F.col("t"), ("iade", "iade istiyorum")))
+    assert "split(" not in plan._jdf.queryExecution().optimizedPlan().toString()
