@@ -8,7 +8,7 @@ integers only.
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_category, normalize, strip, with_bigrams, word_tokens
-from ..storage import materialise
+from ..storage import discard, materialise
 from .ranking import with_position
 
 TFIDF, BM25 = "tfidf", "bm25"
@@ -16,6 +16,9 @@ TFIDF, BM25 = "tfidf", "bm25"
 # The usual BM25 parameters, and the floor for terms in most documents.
 BM25_K1, BM25_B, BM25_FLOOR = 1.5, 0.75, 0.25
 
+# Characters of text whose terms one task counts and weighs, and those that are worth a task of their own.
+TASK_CHARS, SMALL_TASK_CHARS = 8_000_000, 250_000
+
 # Headings of the knowledge-base format; a full-width colon is accepted.
 TITLE = r"(?mdU)^#\s*(.+)$"
 CATEGORY = r"(?iuU)Kategori\s*[:：]\s*([^\n#]+)"
@@ -56,8 +59,10 @@ def terms_of(text, space):
 class KnowledgeIndex:
     """`docs`: parsed documents, numbered by document_id order (doc_no), `count` of them.
 
-    `vocabulary(space)`: h1, h2, term (a number of its own), df, idf and top, the term's largest weight in a document.
-    `postings(space)`: term, doc_no, weight. Both are written at first use; terms of both spaces never share a number.
+    `vocabulary(space)`: h1, h2, term (a number of its own), df and idf.
+    `packed(space)`: doc_no, terms, weights, the postings of a document in one row. Both are written at first use; terms of
+    both spaces never share a number. `postings(space)`: term, doc_no, weight, and `tops(space)`: term and top, the term's
+    largest weight in a document, are read from the packed ones.
     """
 
     def __init__(self, docs):
@@ -68,9 +73,15 @@ class KnowledgeIndex:
     def vocabulary(self, space):
         return self._weighed(space)[0]
 
-    def postings(self, space):
+    def packed(self, space):
         return self._weighed(space)[1]
 
+    def postings(self, space):
+        return unpacked(self.packed(space), "doc_no", "weight")
+
+    def tops(self, space):
+        return self.postings(space).groupBy("term").agg(F.max("weight").alias("top"))
+
     @property
     def count(self):
         if self._count is None:
@@ -79,18 +90,24 @@ class KnowledgeIndex:
 
     def _weighed(self, space):
         if space not in self._tables:
-            counts = _term_counts(self.docs, space)
+            tasks = _tasks(self.docs)
+            counts = _term_counts(self.docs, space, tasks)
             vocabulary = counts.groupBy("h1", "h2").agg(F.count("*").alias("df"))
             number = 2 * F.monotonically_increasing_id() + F.lit(int(space == BM25))
             vocabulary = materialise(vocabulary.withColumn("term", number))
             weigh = _tfidf_weights if space == TFIDF else _bm25_weights
-            vocabulary, weighed = weigh(counts, vocabulary, self.docs)
-            postings = materialise(weighed.select("term", "doc_no", "weight"))
-            tops = postings.groupBy("term").agg(F.max("weight").alias("top"))
-            self._tables[space] = (materialise(vocabulary.join(tops, "term")), postings)
+            vocabulary, packed = weigh(counts, vocabulary, self.count, tasks)
+            self._tables[space] = (vocabulary, materialise(packed))
+            discard(counts)
         return self._tables[space]
 
 
+def unpacked(packed, key, weight):
+    """Rows (term, key, weight) of packed ones."""
+    cells = packed.select(key, F.explode(F.arrays_zip("terms", "weights")).alias("c"))
+    return cells.select(F.col("c.terms").alias("term"), key, F.col("c.weights").alias(weight))
+
+
 def build_index(reference, nfkc=False):
     """Parse, number and write the documents; document_id must be unique."""
     parsed = parse_sections(
@@ -99,8 +116,16 @@ def build_index(reference, nfkc=False):
     return KnowledgeIndex(materialise(with_position(parsed, [F.col("document_id")], "doc_no")))
 
 
-def _term_counts(docs, space):
-    tokens = docs.select("doc_no", "content_norm")
+def _tasks(docs):
+    """Tasks that each count and weigh the terms of a bounded number of characters."""
+    chars = docs.agg(F.coalesce(F.sum(F.length("content_norm")), F.lit(0))).first()[0]
+    most = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(most, 1 + chars // SMALL_TASK_CHARS), -(-chars // TASK_CHARS))
+
+
+def _term_counts(docs, space, tasks):
+    # A document's text moves instead of its terms, which are many times larger, and are counted where it is.
+    tokens = docs.select("doc_no", "content_norm").repartition(tasks, "doc_no")
     if space == TFIDF:
         terms = tokens.withColumn("_t", word_tokens(F.col("content_norm"))).select(
             "doc_no", F.explode(with_bigrams(F.col("_t"))).alias("term")
@@ -108,34 +133,41 @@ def _term_counts(docs, space):
     else:
         terms = tokens.select("doc_no", F.explode(terms_of(F.col("content_norm"), space)).alias("term"))
     h1, h2 = term_key(space, F.col("term"))
-    # Hashed before the exchange: fixed-width keys aggregate and move faster than text.
+    # Hashed before they are counted: fixed-width keys aggregate and move faster than text.
     keyed = terms.select("doc_no", h1.alias("h1"), h2.alias("h2"))
     return materialise(keyed.groupBy("doc_no", "h1", "h2").agg(F.count("*").alias("tf")))
 
 
-def _document_count(docs):
-    return docs.agg(F.count("*")).scalar()
+def packed_rows(rows, key, cell, total, weight):
+    """One row (key, terms, weights) per key from rows with a `term`; `weight(cell, total)` weighs a cell by a sum over the key."""
+    packed = rows.groupBy(key).agg(F.collect_list(F.struct("term", *cell)).alias("cells"), total.alias("total"))
+    return packed.select(
+        key,
+        F.col("cells.term").alias("terms"),
+        F.transform("cells", lambda c: weight(c, F.col("total"))).alias("weights"),
+    )
 
 
-def _tfidf_weights(counts, vocabulary, docs):
+def _tfidf_weights(counts, vocabulary, n, tasks):
     """Raw count times smoothed idf, scaled to unit length per document."""
-    idf = F.log((1 + _document_count(docs)) / (1 + F.col("df"))) + 1
-    vocabulary = vocabulary.withColumn("idf", idf)
-    weighed = counts.join(vocabulary, ["h1", "h2"])
-    raw = F.col("tf") * F.col("idf")
-    lengths = weighed.groupBy("doc_no").agg(F.sqrt(F.sum(raw * raw)).alias("norm"))
-    return vocabulary, weighed.join(lengths, "doc_no").withColumn("weight", raw / F.col("norm"))
+    vocabulary = vocabulary.withColumn("idf", F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1)
+    raw = (F.col("tf") * F.col("idf")).alias("raw")
+    known = counts.join(vocabulary, ["h1", "h2"]).select("doc_no", "term", raw).repartition(tasks, "doc_no")
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")))
+    return vocabulary, packed_rows(known, "doc_no", ["raw"], length, lambda c, norm: c["raw"] / norm)
 
 
-def _bm25_weights(counts, vocabulary, docs):
+def _bm25_weights(counts, vocabulary, n, tasks):
     """Okapi weights; a term in most documents gets a share of the mean idf instead of a negative one."""
-    n, tf = _document_count(docs), F.col("tf")
-    raw = F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
-    vocabulary = vocabulary.withColumn("raw", raw)
-    floor = vocabulary.agg(F.avg("raw") * BM25_FLOOR).scalar()
+    vocabulary = vocabulary.withColumn("raw", F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+    floor = F.lit(vocabulary.agg(F.avg("raw") * BM25_FLOOR).first()[0]).cast("double")
     vocabulary = vocabulary.withColumn("idf", F.when(F.col("raw") < 0, floor).otherwise(F.col("raw"))).drop("raw")
-    lengths = counts.groupBy("doc_no").agg(F.sum("tf").alias("length"))
-    mean_length = counts.agg(F.sum("tf")).scalar() / n
-    damped = tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / mean_length))
-    weighed = counts.join(vocabulary, ["h1", "h2"]).join(lengths, "doc_no")
-    return vocabulary, weighed.withColumn("weight", F.col("idf") * damped)
+    mean_length = F.lit((counts.agg(F.sum("tf")).first()[0] or 0) / max(1, n))
+
+    def weight(cell, length):
+        tf = cell["tf"]
+        damped = tf * (BM25_K1 + 1) / (tf + BM25_K1 * (1 - BM25_B + BM25_B * length / mean_length))
+        return cell["idf"] * damped
+
+    known = counts.join(vocabulary, ["h1", "h2"]).select("doc_no", "term", "tf", "idf").repartition(tasks, "doc_no")
+    return vocabulary, packed_rows(known, "doc_no", ["tf", "idf"], F.sum("tf"), weight)

@@ -319,3 +319,32 @@ def test_prompts_for_every_document(spark, tmp_path):
     assert {r["query_id"] for r in got} == {0, 1, 2, 3}
     assert all(f"Belge {r['query_id']}" in r["content"] for r in got)
     assert {r["query_id"] for r in registered.citation_guard(spark, str(tmp_path)).collect()} == {0, 1, 2, 3}
+
+
+def test_texts_stay_where_they_are(spark, tmp_path):
+    """Judging and answering copy no document's text for a query, and documents without a hit are tried by term."""
+    text = "ortak " + "uzun " * 50
+    index = bare_index(spark, [(f"d{i:02d}", f"{text} w{i % 7} fatura") for i in range(40)])
+    rows = spark.createDataFrame(
+        [(1, "billing", None, "", "w1 ortak"), (1, "data", "yok", "", "w2"), (None, "billing", "", "", "w3"), (2, None, "w4", "", "w4")],
+        "query_id int, problem_category string, problem_subcategory string, first_customer_message string, customer_text string",
+    )
+    table = retrieval.evaluate_retrieval(index, rows)
+    got = {(r["query_id"], r["problem_category"]): (r["hit_at_5"], r["top1_document_id"] != "") for r in table.collect()}
+    assert got == {(1, "billing"): (1, True), (1, "data"): (0, True), (None, "billing"): (0, False), (2, None): (1, True)}
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "collect_list" in line and ("_hay" in line or "content" in line)]
+    hits = spark.createDataFrame([(1, 1, "d01", 0.5)], "query_id int, rank int, document_id string, score double")
+    plain = retrieval.with_documents(hits, index, fields=("document_id", "score")).first()["retrieved_documents"]
+    assert [d.asDict() for d in plain] == [{"document_id": "d01", "score": 0.5}]
+
+
+@pytest.mark.parametrize("space", [knowledge.TFIDF, knowledge.BM25])
+def test_postings_are_one_row_per_document(spark, space):
+    index = bare_index(spark, [(f"d{i}", " ".join(["ortak"] * (i % 3 + 1) + [f"w{i}"])) for i in range(12)] + [("z", "")])
+    packed = index.packed(space)
+    assert sorted(r["doc_no"] for r in packed.collect()) == list(range(12))
+    terms = {r["doc_no"]: len(r["terms"]) for r in packed.collect()}
+    words = {i: 2 + (space == knowledge.TFIDF) * (1 + (i % 3 > 0)) for i in range(12)}
+    assert terms == words
+    assert index.postings(space).count() == sum(words.values())
