@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from caredeck.operators import findings, metrics, models, picks
+from caredeck.operators import findings, knowledge, metrics, models, picks
 from caredeck.operators.customer_month import TARGET
 
 from .helpers import complaint, frame
@@ -159,3 +159,31 @@ def test_findings(spark):
     assert "{'P3 Low': 2, 'P1 High': 1}" in got["Risk ve öncelik"]
     assert got["High-value koruma"].endswith("sayısı 1; tarihsel gelir toplamı 1,234.50.")
     assert got["RAG"].endswith("ölçüm yok.")
+
+
+def test_picks_build_the_chosen_rows_only(spark, tmp_path, monkeypatch):
+    """The choice reads the written table without texts; texts are asked for by the chosen keys."""
+    rows = [
+        complaint(
+            complaint_id=i, problem_category="billing", problem_subcategory="s", lifecycle_status_v2="a", customer_segment="b",
+            friction_score_v3=i % 3, business_risk_score=i, business_risk_level="low", priority_level="P3 Low",
+            recommended_queue="q", recommended_business_action="r", first_customer_message="m", customer_text=f"w{i}",
+        )
+        for i in range(30)
+    ]
+    features = frame(spark, rows)
+    docs = spark.createDataFrame(
+        [(i, f"d{i}", "t", "c", f"w{i}", f"w{i}") for i in range(30)],
+        "doc_no long, document_id string, title string, category string, content string, content_norm string",
+    )
+    index, asked = knowledge.KnowledgeIndex(docs), []
+    search = picks.retrieve
+    monkeypatch.setattr(picks, "retrieve", lambda index, queries, *a, **k: asked.append(queries) or search(index, queries, *a, **k))
+    features.write.parquet(f"{tmp_path}/features")
+    features = spark.read.parquet(f"{tmp_path}/features")
+    both = picks.picked_rows(features, index, written=features.drop("customer_text", "first_customer_message"))
+    got = {(r["case_name"], r["retrieved_documents"][0]["document_id"]) for r in both.collect()}
+    assert got == {(r["case_name"], r["retrieved_documents"][0]["document_id"]) for r in picks.picked_rows(features, index).collect()}
+    assert len(got) == 5
+    plan = asked[0]._jdf.queryExecution().executedPlan().toString()
+    assert any("PushedFilters" in line and "In(complaint_id" in line for line in plan.splitlines())
