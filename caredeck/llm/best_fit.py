@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from .common import materialise, ship_package, texts
+from .common import materialise, ship_package, small_batches, texts
 
 LENGTH = 1024
 OPEN_BINS = 512
@@ -153,6 +153,7 @@ def pack(docs, ranks_path, length=LENGTH, open_bins=OPEN_BINS):
     table gives an empty result; other columns are ignored. `ranks_path` is the vocabulary file on every executor.
     """
     ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     job = functools.partial(_pack_batches, ranks_path=ranks_path, length=length, open_bins=open_bins)
     packed = materialise(texts(docs).mapInArrow(job, PIECES))
     left_open = packed.where("piece = -1").select("sequence_id")

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RollingHash, WordHashes, materialise, mix, ship_package, texts
+from .common import RollingHash, WordHashes, materialise, mix, ship_package, small_batches, texts
 from .components import components
 
 WORDS = 5
@@ -274,6 +274,7 @@ def _across(members, found, reps, classes, docs):
 def _judged(docs):
     """Row per document: doc_id, t1, t2, n_shingles, f1, f2, component_id, kept; see `near_duplicates`."""
     ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = materialise(sketches(docs))
     live = rows.filter("n_shingles > 0 and doc_id is not null")
     # Rows of one class have one word sequence, hence the same shingles and registers.

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CACHE_WORDS, materialise, ship_package
+from .common import CACHE_WORDS, materialise, ship_package, small_batches
 
 #: Categories in chain order, as conditions on the columns of `labels`.
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1", "severe": "toxic = 1 and quality = 0"}
@@ -22,6 +22,8 @@ PENALTY = 5e-4
 STEPS = 80
 WORDS_PER_CATEGORY = 1_500
 LEAST_DOCUMENTS = 5
+#: Features that a task counts before it hands the counts on.
+MOST_COUNTED = 100_000
 LEAST_CHI2 = 12.0
 FOLDS = 3
 #: Lengths of the beginnings of words that count as words of their own, so that inflected forms share one.
@@ -62,7 +64,7 @@ class Features(dict):
 
 
 def _count_batches(batches, categories):
-    """Per feature: documents of the task that hold it, in all and per category."""
+    """Per feature: documents of the task that hold it, in all and per category; in parts of about MOST_COUNTED features."""
     features, seen = Features(), Counter()
     totals = [Counter() for _ in categories]
     for batch in batches:
@@ -73,9 +75,16 @@ def _count_batches(batches, categories):
             for total, yes in zip(totals, truth, strict=True):
                 if yes:
                     total.update(found)
+            if len(seen) >= MOST_COUNTED:
+                yield _counted(seen, totals, categories)
+                seen, totals = Counter(), [Counter() for _ in categories]
+    yield _counted(seen, totals, categories)
+
+
+def _counted(seen, totals, categories):
     words = list(seen)
-    columns = [pa.array([float(c[w]) for w in words]) for c in (seen, *totals)]
-    yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *columns], names=["word", "n", *categories])
+    columns = [pa.array([float(c[w]) for w in words], pa.float64()) for c in (seen, *totals)]
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *columns], names=["word", "n", *categories])
 
 
 def _known_batches(batches, words, keep):
@@ -109,6 +118,7 @@ def _score_batches(batches, words, weights):
 def labelled_sample(docs, labels, rows=LABELLED_ROWS):
     """At most about `rows` labelled documents: doc_id, text, fold and a 0/1 column per category, written once."""
     ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     truth = labels.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         *[F.expr(f"cast({rule} as double)").alias(c) for c, rule in CATEGORIES.items()],

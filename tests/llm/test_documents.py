@@ -4,9 +4,11 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -336,3 +338,44 @@ def test_empty_tables(empty):
     assert source_mix.mix(empty).count() == 0
     assert best_fit.pack(empty, RANKS).count() == 0
     assert pii_bootstrap.report(empty).count() == 0
+
+
+def test_features_are_counted_in_parts(monkeypatch):
+    """A task hands its counts on when it holds many features; together the parts are the whole."""
+    texts = [f"{words(i, 20)} {'vile' if i % 3 else 'kind'}" for i in range(60)] + [None, ""]
+    truth = [float(i % 2) for i in range(len(texts))]
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()), "toxic": truth})]
+
+    def counted(bound):
+        monkeypatch.setattr(toxicity_chain, "MOST_COUNTED", bound)
+        parts = list(toxicity_chain._count_batches(iter(batches), ["toxic"]))
+        sums = Counter()
+        for part in parts:
+            for row in part.to_pylist():
+                sums[row["word"], "n"] += row["n"]
+                sums[row["word"], "toxic"] += row["toxic"]
+        return parts, sums
+
+    (whole, want), (parts, got) = counted(10**9), counted(30)
+    assert len(whole) == 1 and len(parts) > 2
+    assert got == want and max(p.num_rows for p in parts) < whole[0].num_rows
+
+
+def test_tasks_remember_few_words():
+    """A text of new words only: what a task remembers stays far below a text's words."""
+    features = toxicity_chain.Features()
+    features.of(" ".join(map(str, range(250_000))))
+    assert len(features) <= 100_000
+
+
+def test_texts_go_to_python_in_small_batches(spark, docs):
+    option = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.unset(option)
+    for operator in (lambda: best_fit.pack(docs, RANKS), lambda: hyperminhash.near_duplicates(docs)):
+        operator()
+        assert spark.conf.get(option) == "1000"
+        spark.conf.unset(option)
+    spark.conf.set(option, "77")
+    best_fit.pack(docs, RANKS)
+    assert spark.conf.get(option) == "77"
+    spark.conf.unset(option)

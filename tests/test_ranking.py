@@ -177,3 +177,12 @@ def test_percentile_with_a_hot_score(spark):
     assert got[3000] == pytest.approx(1 / len(known)) and len(got) == len(scores)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_offsets_are_a_local_table(spark):
+    """No Python worker makes the rows of the partitions' offsets."""
+    parts = spark.createDataFrame([(2, 5), (0, 3), (1, 4)], "_part long, n long")
+    offsets = ranking._offsets(parts, ["n"])
+    assert sorted(map(tuple, offsets.collect())) == [(0, 0), (1, 3), (2, 7)]
+    assert "LocalTableScan" in offsets._jdf.queryExecution().executedPlan().toString()
+    assert ranking._offsets(parts.limit(0), ["n"]).count() == 0
